@@ -1,13 +1,12 @@
-"""Helpers that the corpus operators share: reading, the shared folder, cutting lineage."""
+"""Helpers that the corpus operators share: reading, words, folds."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propweave.plans.lineage import cut, new_path, shared_dir  # noqa: F401
+
 #: What separates words: space and U+0009 to U+000D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Rows in an Arrow batch sent to Python; texts may be long, so batches are small.
@@ -23,34 +22,6 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="propweave-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    """A fresh path below the shared folder, deleted when the driver ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def cut(df: DataFrame, what: str) -> DataFrame:
-    """Write df to the shared folder and read it back: later steps don't compute it again, and a
-    lost executor costs nothing but its own tasks."""
-    path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column | str) -> Column:
     """Words of a text as array<string>; null and blank texts have none."""
     col = F.col(text) if isinstance(text, str) else text

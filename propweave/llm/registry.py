@@ -1,10 +1,10 @@
 """The corpus queries, and DuckDB SQL for those that SQL can express."""
 
-from propweave.llm import bpe
+from propweave.llm import bpe, ngram_join
 
 
 def queries() -> dict:
-    return {"op3_byte_bpe": bpe.op3_byte_bpe}
+    return {"op3_byte_bpe": bpe.op3_byte_bpe, "op8_ngram_join": ngram_join.op8_ngram_join}
 
 
 def oracle_sql() -> dict:
