@@ -1,11 +1,15 @@
 """The corpus queries, and DuckDB SQL for those that SQL can express."""
 
-from propweave.llm import bpe, ngram_join
+from propweave.llm import bpe, ngram_join, quality
 
 
 def queries() -> dict:
-    return {"op3_byte_bpe": bpe.op3_byte_bpe, "op8_ngram_join": ngram_join.op8_ngram_join}
+    return {
+        "op3_byte_bpe": bpe.op3_byte_bpe,
+        "op8_ngram_join": ngram_join.op8_ngram_join,
+        "op9_host_rules": quality.op9_host_rules,
+    }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op9_host_rules": quality.SQL}
