@@ -30,6 +30,8 @@ def new_path(spark: SparkSession, what: str) -> str:
 def cut(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it back: later steps don't compute it again, and a
     lost executor costs nothing but its own tasks."""
-    path = new_path(df.sparkSession, what)
+    spark = df.sparkSession
+    path = new_path(spark, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of finished steps
+    return spark.read.schema(df.schema).parquet(path)
