@@ -1,11 +1,12 @@
 """The corpus queries, and DuckDB SQL for those that SQL can express."""
 
-from propweave.llm import bpe, ngram_join, quality
+from propweave.llm import bpe, line_dedup, ngram_join, quality
 
 
 def queries() -> dict:
     return {
         "op3_byte_bpe": bpe.op3_byte_bpe,
+        "op6_line_dedup": line_dedup.op6_line_dedup,
         "op8_ngram_join": ngram_join.op8_ngram_join,
         "op9_host_rules": quality.op9_host_rules,
     }
