@@ -1,10 +1,11 @@
 """The corpus queries, and DuckDB SQL for those that SQL can express."""
 
-from propweave.llm import bpe, line_dedup, ngram_join, quality
+from propweave.llm import bpe, line_dedup, mixing, ngram_join, quality
 
 
 def queries() -> dict:
     return {
+        "op1_context_mixing": mixing.op1_context_mixing,
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op6_line_dedup": line_dedup.op6_line_dedup,
         "op8_ngram_join": ngram_join.op8_ngram_join,
