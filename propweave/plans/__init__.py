@@ -1 +1 @@
-
+"""Rule programs and lineage cutting."""
