@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 __all__ = ["between", "casefold", "compose", "constant", "html_anchor", "id_prefix", "isbn13", "lookup", "mask_digits", "match", "nfc", "one_of", "prefixes", "replace", "set_replace", "slice_text", "token_sort_key", "trim", "wiki_links", "wiki_patterns"]
 
@@ -117,7 +118,7 @@ def between(v: Column, low: str | None, high: str | None) -> Column:
     return out if high is None else out & (v < high)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(v: pd.Series) -> pd.Series:
     """Unicode normal form C, which Spark has no function for."""
     return v.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
@@ -130,7 +131,7 @@ def set_replace(v: Column, table: dict[str, str]) -> Column:
         return F.translate(v, "".join(k for k, _ in pairs), "".join(x for _, x in pairs))
     pattern = re.compile("|".join(map(re.escape, sorted(table, key=len, reverse=True))))
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else pattern.sub(lambda m: table[m[0]], x))
 

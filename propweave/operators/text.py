@@ -7,12 +7,13 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: Frequent German function words (fixed values).
 GERMAN_STOP_WORDS = """aber alle als also am an auch auf aus bei bin bis bist da damit dann das dass daß dein deine dem den der des dich die dies diese dieser dieses dir doch dort du durch ein eine einem einen einer eines er es euer eure für hatte hatten hattest hier hinter ich ihr ihre im in ist ja jede jedem jeden jeder jedes jener jenes jetzt kann kannst können könnt machen mein meine mit muß mußt müssen müßt nach nachdem nein nicht nun oder seid sein seine sich sie sind soll sollen sollst sollt sonst soweit sowie und unser unsere unter vom von vor wann warum was weiter weitere wenn wer werde werden werdet weshalb wie wieder wieso wir wird wirst wo woher wohin zu zum zur über""".split()
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def _stemmed(tokens: pd.Series) -> pd.Series:
     known: dict[str, str] = {}
 

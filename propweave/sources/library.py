@@ -9,9 +9,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 FIELD, SUB, RECORD = "\x1e", "\x1f", "\x1d"
-ITEM = "array<struct<pos:int,ent_no:int,ent:string,name:string,value:string>>"
+_PROPERTY = StructType([StructField("pos", IntegerType()), StructField("ent_no", IntegerType()), *[StructField(c, StringType()) for c in ("ent", "name", "value")]])
 
 
 def _subfields(rows: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def _marc(data: str) -> tuple[str | None, list]:
         return None, [(0, None, None, "error", f"{type(e).__name__}: {e}")]
 
 
-@F.pandas_udf(f"struct<id:string,props:{ITEM}>")
+@F.pandas_udf(StructType([StructField("id", StringType()), StructField("props", ArrayType(_PROPERTY))]))
 def _decode_marc(v: pd.Series) -> pd.DataFrame:
     rows = [_marc(x or "") for x in v]
     names = ("pos", "ent_no", "ent", "name", "value")
