@@ -7,9 +7,8 @@ import xxhash
 
 #: Words whose hashes a worker keeps; a full cache is emptied.
 CACHE = 400_000
-MASK = (1 << 64) - 1
-#: Multipliers of the five positions of a shingle: odd, by the golden-ratio sequence.
-POSITION = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1) | 1) & MASK) for k in range(5)]
+#: Multipliers of the positions of a shingle: odd and unrelated, so that no two orders of words agree.
+POSITION = [np.uint64(xxhash.xxh64_intdigest(f"position {k}") | 1) for k in range(5)]
 
 
 class Hashes(dict):
