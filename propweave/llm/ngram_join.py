@@ -4,7 +4,7 @@ Two documents link when 100 * |A & B| >= 80 * |A | B| for their sets of five-wor
 links between different texts are found, exactly; only classes are returned, never all pairs.
 
 1. A count sketch of all shingles (2**20 counters, whatever the input) tells the frequent ones.
-2. Each document yields its set's size and 128-bit digest, a 2048-bit token bitmap, and the prefix of
+2. Each document yields its set's size and 128-bit digest, a token bitmap, and the prefix of
    its set: the n - ceil(0.8 n) + 1 rarest shingles.  Linked sets share a prefix shingle.  Equal
    sets form one node.
 3. Nodes are dealt out by prefix shingle.  A bucket is the nodes with one prefix shingle; it is read
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from propweave.llm import common, tokens
 from propweave.operators.components import connected_components
 
-BITS = 2048
+#: Bits of a bitmap: a power of two, four times the set's size or more, within these.
+LEAST_BITS, MOST_BITS = 1 << 9, 1 << 17
 SKETCH = 1 << 20
 #: Nodes in a block of a bucket; a pair of blocks is one unit of work.
 BLOCK = 4096
@@ -55,8 +56,9 @@ def _sketch(texts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, (tokens.shingles(tokens.split(text)) & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+            slots = [tokens.shingles(tokens.split(text)) & np.uint64(SKETCH - 1) for text in batch.column(0).to_pylist()]
+            if slots:
+                counts += np.bincount(np.concatenate(slots).astype(np.int64), None, SKETCH)
         # 256 slices, so that sums meet in many tasks
         for k, part in enumerate(counts.reshape(256, -1)):
             if part.any():
@@ -92,11 +94,25 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(own >> np.uint64(40)).astype(np.int64) % BITS] = 1
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (4 * len(own) - 1).bit_length()))
+    bits = np.zeros(size, np.uint8)
+    bits[(own >> np.uint64(40)).astype(np.int64) % size] = 1
     return np.packbits(bits).tobytes()
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap (64-bit words) as if made with fewer bits."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words)) if len(bits) > words else bits
+
+
+def most_shared(x: np.ndarray, y: np.ndarray, nx: int, ny: int) -> int:
+    """The maximum possible overlap of two sets by their bitmaps."""
+    words = min(len(x), len(y))
+    x, y = folded(x, words), folded(y, words)
+    excess = min(nx - int(_popcount(x)), ny - int(_popcount(y)))
+    return min(nx, ny, int(_popcount(x & y)) + excess)
+
+
 def _features(texts: DataFrame, levels) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
@@ -152,9 +168,6 @@ def _buckets(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "token long, rep long, n long, leader long, leader_n long")
 
 
-POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-
-
 def _popcount(a: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a).sum(-1, dtype=np.int64)
 
@@ -241,7 +254,13 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
         trees = []
         for own in (sorted(blocks[k], key=lambda x: x[:2]) for k in sorted(blocks)):
             n, rep, cls = (np.array([x[k] for x in own], np.int64) for k in range(3))
-            trees.append((rep, Tree(n, np.frombuffer(b"".join(x[3] for x in own), np.uint64).reshape(len(own), -1), cls)))
+            full = [np.frombuffer(x[3], np.uint64) for x in own]
+            trees.append((rep, n, full, cls))
+        # one size for all of a tree's bitmaps; pairs of documents are held against their own after
+        words = min(len(x) for _, _, full, _ in trees for x in full)
+        whole = [full for _, _, full, _ in trees]
+        sizes = [n for _, n, _, _ in trees]
+        trees = [(rep, Tree(n, np.array([folded(x, words) for x in full]), cls)) for rep, n, full, cls in trees]
         leader, two = run[0][7], len(trees) == 2
         if not two and run[0][1] != run[0][2]:
             return
@@ -249,6 +268,9 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
         for i, j in dual_traversal(a, b, not two):
             x, y = ra[i], rb[j]
             new = (x != leader) & (y != leader)
+            for k in np.flatnonzero(new).tolist():
+                nx, ny = int(sizes[0][i[k]]), int(sizes[-1][j[k]])
+                new[k] = (100 + PERCENT) * most_shared(whole[0][i[k]], whole[-1][j[k]], nx, ny) >= PERCENT * (nx + ny)
             if new.any():
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[new]), pa.array(np.maximum(x, y)[new])], ["a", "b"])
 
@@ -300,11 +322,9 @@ def _bitmap_filter(pairs: DataFrame, bits: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            na, nb = (batch.column(i).to_numpy() for i in (2, 3))
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(na), -1) for i in (4, 5))
-            most = np.minimum(_popcount(x & y) + np.minimum(na - _popcount(x), nb - _popcount(y)), np.minimum(na, nb))
-            k = np.flatnonzero((100 + PERCENT) * most >= PERCENT * (na + nb))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(k)), batch.column(1).take(pa.array(k))], ["a", "b"])
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
+            ok = pa.array([(100 + PERCENT) * most_shared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), na, nb) >= PERCENT * (na + nb) for na, nb, x, y in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], ["a", "b"])
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
 
@@ -361,3 +381,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(common.table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+s as (select distinct doc_id, g from (
+  select doc_id, array_to_string(ws[i:i + 4], chr(10)) as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i from w where len(ws) > 0))),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * k >= 80 * (p.n + q.n - k)),
+e2 as (select x, y from e union all select y, x from e),
+cc(d, l) as (select x, x from e2 union select e2.y, cc.l from cc join e2 on e2.x = cc.d),
+m as (select d, min(l) as l from cc group by d)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(m.l, w.doc_id) as component_id
+from w left join n on n.doc_id = w.doc_id left join m on m.d = w.doc_id
+"""

@@ -19,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op9_host_rules": quality.SQL}
+    return {"op2_warc": warc.SQL, "op8_ngram_join": ngram_join.SQL, "op9_host_rules": quality.SQL}

@@ -71,7 +71,18 @@ def test_bound_is_never_below_the_overlap():
     r = np.random.default_rng(0)
     for _ in range(50):
         a, b = (np.unique(r.integers(0, 3000, r.integers(1, 2500)).astype(np.uint64) << np.uint64(40)) for _ in range(2))
-        t = [nj.Tree(np.array([len(x)]), np.frombuffer(nj.bitmap(x), np.uint64)[None], np.array([k])) for k, x in enumerate((a, b))]
+        assert nj.most_shared(*(np.frombuffer(nj.bitmap(x), np.uint64) for x in (a, b)), len(a), len(b)) >= len(np.intersect1d(a, b))
+        maps = [np.frombuffer(nj.bitmap(x), np.uint64) for x in (a, b)]
+        words = min(map(len, maps))
+        t = [nj.Tree(np.array([len(x)]), nj.folded(m, words)[None], np.array([k])) for k, (x, m) in enumerate(zip((a, b), maps))]
         linked = 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
         z = np.zeros(1, np.int64)
         assert not linked or nj.possible(t[0], 0, z, t[1], 0, z)[0]
+
+
+def test_sql(spark):
+    import duckdb
+    d = "/root/testdata/sf0.001"
+    c = duckdb.connect()
+    c.sql(f"create view documents as select * from '{d}/documents.parquet'")
+    assert sorted(map(tuple, nj.op8_ngram_join(spark, d).collect())) == sorted(c.sql(nj.SQL).fetchall())
