@@ -45,6 +45,8 @@ SKETCH = 1 << 20
 #: Nodes in a block of a bucket; a pair of blocks is one unit of work.
 BLOCK = 4096
 LEAF, FANOUT = 8, 8
+#: 64-bit words of a tree's bitmaps at most; pairs of documents are held against their whole bitmaps after.
+TREE_WORDS = 64
 #: Hash positions for picking the documents whose sets are fetched; bounds the broadcast.
 PICK = 1 << 20
 PERCENT = 80
@@ -205,7 +207,9 @@ def possible(a: Tree, la: int, i: np.ndarray, b: Tree, lb: int, j: np.ndarray, p
     bits_b, low_b, high_b, ex_b, cls_b = b.levels[lb]
     ok = (100 * high_a[i] >= percent * low_b[j]) & (100 * high_b[j] >= percent * low_a[i]) & ~((cls_a[i] == cls_b[j]) & (cls_a[i] != NONE))
     k = np.flatnonzero(ok)
-    most = np.minimum(_popcount(bits_a[i[k]] & bits_b[j[k]]) + np.minimum(ex_a[i[k]], ex_b[j[k]]), np.minimum(high_a[i[k]], high_b[j[k]]))
+    step = max(1, (1 << 21) // bits_a.shape[1])  # pairs whose bitmaps are held at once
+    shared = np.concatenate([np.zeros(0, np.int64), *(_popcount(bits_a[i[k[s : s + step]]] & bits_b[j[k[s : s + step]]]) for s in range(0, len(k), step))])
+    most = np.minimum(shared + np.minimum(ex_a[i[k]], ex_b[j[k]]), np.minimum(high_a[i[k]], high_b[j[k]]))
     # |A & B| >= s * |A | B|  <=>  (1 + s) * |A & B| >= s * (|A| + |B|)
     ok[k] = (100 + percent) * most >= percent * (low_a[i[k]] + low_b[j[k]])
     return ok
@@ -257,7 +261,7 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
             full = [np.frombuffer(x[3], np.uint64) for x in own]
             trees.append((rep, n, full, cls))
         # one size for all of a tree's bitmaps; pairs of documents are held against their own after
-        words = min(len(x) for _, _, full, _ in trees for x in full)
+        words = min(TREE_WORDS, min(len(x) for _, _, full, _ in trees for x in full))
         whole = [full for _, _, full, _ in trees]
         sizes = [n for _, n, _, _ in trees]
         trees = [(rep, Tree(n, np.array([folded(x, words) for x in full]), cls)) for rep, n, full, cls in trees]
