@@ -2,9 +2,10 @@
 
 Blocks are runs of lines around a line with a word of licensing.  Each block is compressed by
 zstandard alone and with each licence template as a raw dictionary; the templates are ranked by how much
-smaller that makes the block.  The best ones are confirmed by the exact differences in wording: the
-words of the template, aligned with the block's, must be there but for a few, and the words that tell
-versions apart must all be there.
+smaller that makes the block, its lines with triggers, or the surroundings of a trigger: in a long line a
+notice saves little of the whole.  They are confirmed by the exact differences in wording: the words of the
+template, aligned with the block's, must be there but for a few, and the words that tell versions apart must
+all be there.  Only templates without those words are left out before, whatever the others save.
 
 Defined results: one row for each licence confirmed in a document, with its best block; null and empty
 texts, and blocks that no template fits, give none; repeated rows give repeated findings; other columns are
@@ -54,8 +55,8 @@ TEMPLATES = (
 TRIGGER = r"(?i)licen[cs]|copyright|spdx|public domain|permission to use|hereby granted|redistribution and use|\bcc[ -]by|\bcc0"
 #: A block's lines around a trigger, and the characters of a block that are compressed at once.
 AROUND, PIECE, OVERLAP = 1, 1500, 400
-#: Templates confirmed for a piece at most are those that save this share of its compressed size.
-LEAST_SAVING, LEAST_WORDS = 0.15, 0.85
+#: The share of a template's words that must be there.
+LEAST_WORDS = 0.85
 
 
 def words(text: str) -> list[str]:
@@ -68,7 +69,7 @@ def compressors() -> tuple:
     own = []
     for name, text, must in TEMPLATES:
         raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        own.append((name, words(text), words(must), zstandard.ZstdCompressor(level=3, dict_data=raw)))
+        own.append((name, len(text), words(text), set(words(must)), zstandard.ZstdCompressor(level=3, dict_data=raw)))
     return plain, own
 
 
@@ -102,24 +103,44 @@ def differences(template: list[str], block: list[str]) -> tuple[float, list[str]
     return len(found) / len(template), [w for k, w in enumerate(template) if k not in found], extra
 
 
+def around(piece: str, spots: list[tuple[int, int]], reach: int) -> Iterator[str]:
+    """The whole words within `reach` characters of each spot; near spots share one part."""
+    runs: list[list[int]] = []
+    for low, high in spots:
+        if runs and high - runs[-1][0] <= reach:
+            runs[-1][1] = high
+        else:
+            runs.append([low, high])
+    for low, high in runs:
+        low, high = max(0, low - reach), min(len(piece), high + reach)
+        while low and not piece[low - 1].isspace():
+            low -= 1
+        while high < len(piece) and not piece[high].isspace():
+            high += 1
+        yield piece[low:high]
+
+
 def findings(text: str | None) -> list[tuple]:
     """(licence, line, saving, share, missing, added), the best for each licence."""
     best: dict[str, tuple] = {}
     plain, own = compressors()
     for line, piece in blocks(text or ""):
-        data, block = piece.encode(), words(piece)
-        # a template's own words decide a piece's size: hold it against the part that holds the trigger too
-        parts = [(data, block)] + [(x.encode(), words(x)) for x in piece.split("\n") if re.search(TRIGGER, x) and len(x) < len(piece)]
-        for raw, tokens in parts:
-            alone = len(plain.compress(raw))
-            ranked = sorted(((1 - len(c.compress(raw)) / alone, name, template, must) for name, template, must, c in own), key=lambda x: (-x[0], x[1]))
-            for saving, name, template, must in ranked:
-                if saving < LEAST_SAVING:
-                    break
-                share, missing, added = differences(template, tokens)
-                if share >= LEAST_WORDS and not set(must) & set(missing) and len(added) <= len(template) // 4:
-                    if name not in best or (share, saving) > (best[name][3], best[name][2]):
-                        best[name] = (name, line, round(saving, 6), round(share, 6), " ".join(missing), " ".join(added))
+        whole, spots = set(words(piece)), [m.span() for m in re.finditer(TRIGGER, piece)]
+        # a template's own words decide a piece's size: hold it against the parts that hold the trigger too
+        parts = [piece] + [x for x in piece.split("\n") if re.search(TRIGGER, x) and len(x) < len(piece)]
+        ranked = []
+        for name, size, template, must, c in own:
+            if not must <= whole:
+                continue
+            for part in dict.fromkeys([*parts, *around(piece, spots, 2 * size)]):
+                tokens, raw = words(part), part.encode()
+                if must <= set(tokens):
+                    ranked.append((1 - len(c.compress(raw)) / len(plain.compress(raw)), name, template, must, tokens))
+        for saving, name, template, must, tokens in sorted(ranked, key=lambda x: (-x[0], x[1])):
+            share, missing, added = differences(template, tokens)
+            if share >= LEAST_WORDS and not must & set(missing) and len(added) <= len(template) // 4:
+                if name not in best or (share, saving) > (best[name][3], best[name][2]):
+                    best[name] = (name, line, round(saving, 6), round(share, 6), " ".join(missing), " ".join(added))
     return [best[k] for k in sorted(best)]
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 from propweave.llm import licenses
@@ -29,3 +30,23 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, t, "c"), (3, t, "c"), (None, t, None)], "doc_id long, text string, licence string")
     assert sorted((r.doc_id or 0, r.licence) for r in licenses.scan(df).collect()) == [(0, "MIT"), (3, "MIT"), (3, "MIT")]
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_notices_within_real_prose(spark):
+    """Each notice in the middle of one long line, whatever the line's length, and with a word changed at its end."""
+    r = random.Random(2)
+    prose = [x.text.replace("\n", " ") for x in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if x.text and not re.search(licenses.TRIGGER, x.text)]
+    prose = [x for x in prose if len(x) > 3000]
+    for licence, text, must in licenses.TEMPLATES:
+        for size in (200, 500, 1450, 3000):
+            for _ in range(5):
+                x = r.choice(prose)[:size].split(" ")
+                at = len(x) // 2
+                assert licence in [f[0] for f in licenses.findings(" ".join([*x[:at], text, *x[at:]]))], (text, size)
+        assert licences_of(" ".join(x)) == []
+    long = next(text for name, text, _ in licenses.TEMPLATES if name == "MPL-2.0").replace("terms of", "conditions of")
+    assert licences_of(f"{r.choice(prose)[:700]} {long} {r.choice(prose)[:700]}") == ["MPL-2.0"]
+
+
+def licences_of(text):
+    return [f[0] for f in licenses.findings(text)]
