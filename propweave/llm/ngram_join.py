@@ -6,7 +6,7 @@ links between different texts are found, exactly; only classes are returned, nev
 1. A count sketch of all shingles (2**20 counters, whatever the input) tells the frequent ones.
 2. Each document yields its set's size and 128-bit digest, a token bitmap, and the prefix of
    its set: the n - ceil(0.8 n) + 1 rarest shingles.  Linked sets share a prefix shingle.  Equal
-   sets form one node.
+   sets form one node, with a number of its own, whatever doc_ids have it.
 3. Nodes are dealt out by prefix shingle.  A bucket is the nodes with one prefix shingle; it is read
    as a sorted stream, so its size doesn't matter for memory.  Buckets of one node go.
 4. Leaders: each bucket's smallest node is its tree's first leaf; every other node is held against
@@ -16,13 +16,13 @@ links between different texts are found, exactly; only classes are returned, nev
    size ranges and the class that all below share, are traversed together.  A pair of tree nodes
    goes if its sizes can't fit, if the maximum possible overlap is too small, or if both sides are
    one class already.  What remains is verified exactly.
-6. Components over both kinds of links, and back to all documents.
+6. Components over both kinds of links and over the nodes that share a doc_id, and back to all documents.
 
 A hot group of near copies thus costs work in proportion to its size: its nodes link to a leader
 and are one class before step 5.
 
 Defined results: null, empty and blank texts have n_shingles 0 and are components of their own;
-repeated doc_ids are one node of the graph (rows stay, each with its own n_shingles); null doc_ids
+rows that repeat a doc_id are of one component, with all their texts (rows stay, each with its own n_shingles); null doc_ids
 are kept with a null component_id; other columns of the input are ignored.
 """
 
@@ -292,12 +292,13 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _sets(texts: DataFrame, pairs: DataFrame, digest_of: DataFrame) -> DataFrame:
-    """The shingle sets of the documents in pairs.  A broadcast of at most PICK hash positions keeps
-    most other texts from being read into sets; no other use is made of them."""
+def _sets(texts: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(rep, own): the shingle sets of the nodes in pairs, from their smallest doc_ids.  A broadcast of at most PICK
+    hash positions keeps most other texts from being read into sets; no other use is made of them."""
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(PICK))
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    spots = ends.select(spot.alias("spot")).distinct()
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    wanted = common.cut(nodes.join(ends, "rep", "left_semi"), "wanted")
+    spots = wanted.select(spot.alias("spot")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,21 +307,21 @@ def _sets(texts: DataFrame, pairs: DataFrame, digest_of: DataFrame) -> DataFrame
 
     picked = texts.select("doc_id", "text", spot.alias("spot")).join(F.broadcast(spots), "spot", "left_semi").select("doc_id", "text")
     made = picked.mapInArrow(run, "doc_id long, digest binary, own array<long>")
-    # of rows that repeat an id, the one that stands for it; ids that only share a spot go here
-    return made.join(digest_of.join(ends.distinct(), "doc_id", "left_semi"), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
+    # rows with other texts of these ids, and ids that only share a spot, go here
+    return made.join(wanted, ["doc_id", "digest"]).select("rep", "own").dropDuplicates(["rep"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    a = sets.select(F.col("doc_id").alias("a"), F.col("own").alias("own_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("own").alias("own_b"))
+    a = sets.select(F.col("rep").alias("a"), F.col("own").alias("own_a"))
+    b = sets.select(F.col("rep").alias("b"), F.col("own").alias("own_b"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("own_a").alias("na"), F.size("own_b").alias("nb"), F.size(F.array_intersect("own_a", "own_b")).alias("common"))
     return both.where((100 + PERCENT) * F.col("common") >= PERCENT * (F.col("na") + F.col("nb"))).select(F.col("b").alias("src"), F.col("a").alias("dst"))
 
 
 def _bitmap_filter(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """Of pairs (a, b), those whose maximum possible overlap by bitmap is enough."""
-    a = bits.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    b = bits.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    a = bits.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    b = bits.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,20 +342,20 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     levels = spark.sparkContext.broadcast(rarity(_sketch(texts.select("text"))))
     made = common.cut(_features(texts, levels), "shingles")
     known = made.where("doc_id is not null and n > 0")
-    # one node for each different set, and one set for each id
-    nodes = common.cut(known.groupBy("digest", "n").agg(F.min("doc_id").alias("rep")).groupBy("rep").agg(F.min("digest").alias("digest")), "nodes")
-    digest_of = nodes.select(F.col("rep").alias("doc_id"), "digest")
-    first = known.join(digest_of, ["doc_id", "digest"], "left_semi")
-    postings = first.select(F.col("doc_id").alias("rep"), "n", F.explode("prefix").alias("token"))
+    # one node for each different set: its number (rep, in the order of doc_ids), its smallest doc_id and its digest
+    nodes = common.cut(known.groupBy("digest", "n").agg(F.min("doc_id").alias("doc_id")).repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest").select(F.monotonically_increasing_id().alias("rep"), "doc_id", "digest"), "nodes")
+    first = known.join(nodes, ["doc_id", "digest"])
+    postings = first.select("rep", "n", F.explode("prefix").alias("token"))
     buckets = common.cut(_buckets(postings), "buckets")
-    bits = first.select("doc_id", "n", "bits")
+    bits = first.select("rep", "n", "bits")
 
     fits = (100 * F.least("n", "leader_n") >= PERCENT * F.greatest("n", "leader_n")) & (F.col("rep") != F.col("leader"))
     led = buckets.where(fits).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     led = common.cut(_bitmap_filter(led, bits), "led")
-    links = common.cut(_verified(led, common.cut(_sets(texts, led, digest_of), "sets")), "links")
-    # rows that repeat an id with other texts join what each of their sets is
-    same = made.where("doc_id is not null and n > 0").join(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "digest").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).where("src <> dst")
+    links = common.cut(_verified(led, common.cut(_sets(texts, led, nodes), "sets")), "links")
+    # an id's nodes, one with each of its texts, belong together
+    held = common.cut(known.select("doc_id", "digest").distinct().join(nodes.select("rep", "digest"), "digest").select("doc_id", "rep"), "held")
+    same = held.join(held.groupBy("doc_id").agg(F.min("rep").alias("dst")), "doc_id").where("rep <> dst").select(F.col("rep").alias("src"), "dst")
     classes = connected_components(links)
 
     named = buckets.where("rep <> leader").join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", "leader", F.coalesce("component", "rep").alias("cls"))
@@ -366,14 +367,18 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         block = F.pmod(F.xxhash64("rep"), count).cast("int")
         other = F.explode(F.sequence(F.lit(0), count - 1))
         dealt = open_rows.withColumn("block", block).withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "cls", "leader")
-        wide = dealt.join(bits.select(F.col("doc_id").alias("rep"), "bits"), "rep").select("token", "i", "j", "block", "rep", "n", "cls", "leader", "bits")
+        wide = dealt.join(bits.select("rep", "bits"), "rep").select("token", "i", "j", "block", "rep", "n", "cls", "leader", "bits")
         pairs = common.cut(_tree_pairs(wide.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")).distinct(), "pairs")
-        links = links.union(common.cut(_verified(pairs, _sets(texts, pairs, digest_of)), "links"))
+        links = links.union(common.cut(_verified(pairs, _sets(texts, pairs, nodes)), "links"))
         classes = connected_components(links.union(same))
     else:
         classes = connected_components(links.union(same))
-    out = made.select("doc_id", F.col("n").alias("n_shingles")).join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # back from nodes to doc_ids: a component is called by the smallest of them
+    placed = held.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("cls"))
+    label = placed.groupBy("cls").agg(F.min("doc_id").alias("component_id"))
+    labels = placed.distinct().join(label, "cls").select("doc_id", "component_id")
+    out = made.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -86,3 +86,14 @@ def test_sql(spark):
     c = duckdb.connect()
     c.sql(f"create view documents as select * from '{d}/documents.parquet'")
     assert sorted(map(tuple, nj.op8_ngram_join(spark, d).collect())) == sorted(c.sql(nj.SQL).fetchall())
+
+
+def test_near_copies_of_all_texts_of_an_id(spark):
+    """Each text of a repeated doc_id is searched, also where the id is the smallest of several texts."""
+    r = random.Random(6)
+    texts = [[f"{k}x{r.randrange(10**6)}" for _ in range(60)] for k in range(4)]
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(1, " ".join(w)) for w in texts] + [(10 + k, near(w)) for k, w in enumerate(texts)] + [(30, "nothing like these at all")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in nj.near_duplicate_classes(df).collect()}
+    assert got == {1: 1, 10: 1, 11: 1, 12: 1, 13: 1, 30: 30}
