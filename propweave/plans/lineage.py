@@ -5,33 +5,65 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables of cut() that may still be read: (path, a weak reference of the JVM to what every plan that reads it holds).
+_tables: list[tuple[str, object]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder named in spark.checkpoint.dir; one of our own only where that is unset and the master is local."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="propweave-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def _files(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def new_path(spark: SparkSession, what: str) -> str:
     """A fresh path below the shared folder, deleted when the driver ends."""
     path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    hadoop, files = _files(spark, path)
+    files.deleteOnExit(hadoop)
     return path
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete tables of cut() that no plan can read any more: the JVM has collected their file index."""
+    spark.sparkContext._jvm.System.gc()  # also lets Spark's cleaner delete the shuffle files of finished steps
+    kept = []
+    for path, held in _tables:
+        try:
+            if held.get() is None:
+                hadoop, files = _files(spark, path)
+                files.delete(hadoop, True)
+            else:
+                kept.append((path, held))
+        except Py4JError:  # of a session that has ended
+            continue
+    _tables[:] = kept
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it back: later steps don't compute it again, and a
-    lost executor costs nothing but its own tasks."""
+    lost executor costs nothing but its own tasks.  The table goes once nothing can read it."""
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of finished steps
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    index = out._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
+    _tables.append((path, spark.sparkContext._jvm.java.lang.ref.WeakReference(index)))
+    del df, index
+    sweep(spark)
+    return out
