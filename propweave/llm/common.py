@@ -9,17 +9,20 @@ from propweave.plans.lineage import cut, new_path, shared_dir  # noqa: F401
 
 #: What separates words: space and U+0009 to U+000D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
-#: Rows in an Arrow batch sent to Python; texts may be long, so batches are small.
-BATCH_ROWS = 500
+#: Bytes of an Arrow batch sent to Python; texts may be long, so batches are small.
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch, and so a Python worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, and so a Python worker's memory.  The session's setting is only ever lowered,
+    and to one value, so the order of calls doesn't matter to plans that run later."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def words(text: Column | str) -> Column:
