@@ -15,7 +15,8 @@ links between different texts are found, exactly; only classes are returned, nev
    size into blocks; in each pair of blocks two trees, whose inner nodes hold OR-combined bitmaps,
    size ranges and the class that all below share, are traversed together.  A pair of tree nodes
    goes if its sizes can't fit, if the maximum possible overlap is too small, or if both sides are
-   one class already.  What remains is verified exactly.
+   one class already.  Of buckets with the same nodes one is taken; bitmaps travel folded to TREE_WORDS at most.
+   What remains is held against whole bitmaps, each pair once, and verified exactly.
 6. Components over both kinds of links and over the nodes that share a doc_id, and back to all documents.
 
 A hot group of near copies thus costs work in proportion to its size: its nodes link to a leader
@@ -43,9 +44,9 @@ from propweave.operators.components import connected_components
 LEAST_BITS, MOST_BITS = 1 << 9, 1 << 17
 SKETCH = 1 << 20
 #: Nodes in a block of a bucket; a pair of blocks is one unit of work.
-BLOCK = 4096
+BLOCK = 1024
 LEAF, FANOUT = 8, 8
-#: 64-bit words of a tree's bitmaps at most; pairs of documents are held against their whole bitmaps after.
+#: 64-bit words of a tree's bitmaps at most; pairs of documents are held against their whole bitmaps after, apart.
 TREE_WORDS = 64
 #: Hash positions for picking the documents whose sets are fetched; bounds the broadcast.
 PICK = 1 << 20
@@ -58,9 +59,9 @@ def _sketch(texts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            slots = [tokens.shingles(tokens.split(text)) & np.uint64(SKETCH - 1) for text in batch.column(0).to_pylist()]
-            if slots:
-                counts += np.bincount(np.concatenate(slots).astype(np.int64), None, SKETCH)
+            if batch.num_rows:
+                every = np.concatenate(tokens.shingle_sets(batch.column(0).to_pylist()))
+                counts += np.bincount((every & np.uint64(SKETCH - 1)).astype(np.int64), None, SKETCH)
         # 256 slices, so that sums meet in many tasks
         for k, part in enumerate(counts.reshape(256, -1)):
             if part.any():
@@ -120,8 +121,7 @@ def _features(texts: DataFrame, levels) -> DataFrame:
         level = levels.value
         for batch in batches:
             n, digest, prefix, bits = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                own = tokens.shingles(tokens.split(text))
+            for own in tokens.shingle_sets(batch.column(1).to_pylist()):
                 n.append(len(own))
                 digest.append(xxhash.xxh128_digest(own.tobytes()) if len(own) else None)
                 bits.append(bitmap(own) if len(own) else None)
@@ -148,6 +148,8 @@ def _buckets(rows: DataFrame) -> DataFrame:
                 continue
             if held is not None:
                 t, r, n = (np.concatenate([[a], b]) for a, b in zip(held, (t, r, n)))
+            once = np.concatenate([[True], (t[1:] != t[:-1]) | (r[1:] != r[:-1])])  # rows that repeat a doc_id and a text
+            t, r, n = t[once], r[once], n[once]
             first = np.concatenate([[True], t[1:] != t[:-1]])
             start = np.maximum.accumulate(np.where(first, np.arange(len(t)), 0))
             lead, lead_n = r[start], n[start]
@@ -258,10 +260,9 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
         trees = []
         for own in (sorted(blocks[k], key=lambda x: x[:2]) for k in sorted(blocks)):
             n, rep, cls = (np.array([x[k] for x in own], np.int64) for k in range(3))
-            full = [np.frombuffer(x[3], np.uint64) for x in own]
-            trees.append((rep, n, full, cls))
+            trees.append((rep, n, [np.frombuffer(x[3], np.uint64) for x in own], cls))
         # one size for all of a tree's bitmaps; pairs of documents are held against their own after
-        words = min(TREE_WORDS, min(len(x) for _, _, full, _ in trees for x in full))
+        words = min(len(x) for _, _, full, _ in trees for x in full)
         whole = [full for _, _, full, _ in trees]
         sizes = [n for _, n, _, _ in trees]
         trees = [(rep, Tree(n, np.array([folded(x, words) for x in full]), cls)) for rep, n, full, cls in trees]
@@ -292,6 +293,20 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _tree_bits(bits: DataFrame) -> DataFrame:
+    """(rep, bits): bitmaps of half the size, and of TREE_WORDS at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            small = []
+            for x in batch.column(1).to_pylist():
+                x = np.frombuffer(x, np.uint64)
+                small.append(folded(x, max(LEAST_BITS // 64, min(TREE_WORDS, len(x) // 2))).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], ["rep", "bits"])
+
+    return bits.select("rep", "bits").mapInArrow(run, "rep long, bits binary")
+
+
 def _sets(texts: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(rep, own): the shingle sets of the nodes in pairs, from their smallest doc_ids.  A broadcast of at most PICK
     hash positions keeps most other texts from being read into sets; no other use is made of them."""
@@ -302,7 +317,7 @@ def _sets(texts: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [tokens.shingles(tokens.split(text)) for text in batch.column(1).to_pylist()]
+            own = tokens.shingle_sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxhash.xxh128_digest(x.tobytes()) for x in own], pa.binary()), pa.array([x.view(np.int64) for x in own], pa.list_(pa.int64()))], ["doc_id", "digest", "own"])
 
     picked = texts.select("doc_id", "text", spot.alias("spot")).join(F.broadcast(spots), "spot", "left_semi").select("doc_id", "text")
@@ -318,8 +333,14 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where((100 + PERCENT) * F.col("common") >= PERCENT * (F.col("na") + F.col("nb"))).select(F.col("b").alias("src"), F.col("a").alias("dst"))
 
 
+def _one_each(bits: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows of bits of these reps, one for each."""
+    return bits.join(reps.distinct(), "rep", "left_semi").dropDuplicates(["rep"])
+
+
 def _bitmap_filter(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """Of pairs (a, b), those whose maximum possible overlap by bitmap is enough."""
+    bits = _one_each(bits, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")))
     a = bits.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
     b = bits.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
 
@@ -359,7 +380,9 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     classes = connected_components(links)
 
     named = buckets.where("rep <> leader").join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", "leader", F.coalesce("component", "rep").alias("cls"))
-    mixed = named.groupBy("token").agg(F.count("*").alias("m"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
+    # of buckets with the same nodes one is enough
+    members = [F.count("*").alias("m"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y")]
+    mixed = named.groupBy("token").agg(*members).where("low <> high").groupBy("m", "low", "high", "x", "y").agg(F.min("token").alias("token"))
     open_rows = common.cut(named.join(mixed.select("token", "m"), "token"), "mixed")
     if not open_rows.isEmpty():
         # blocks by a hash salt only where a bucket is larger than a block; every pair of blocks is kept
@@ -367,8 +390,10 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         block = F.pmod(F.xxhash64("rep"), count).cast("int")
         other = F.explode(F.sequence(F.lit(0), count - 1))
         dealt = open_rows.withColumn("block", block).withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "cls", "leader")
-        wide = dealt.join(bits.select("rep", "bits"), "rep").select("token", "i", "j", "block", "rep", "n", "cls", "leader", "bits")
+        small = _tree_bits(_one_each(bits, open_rows.select("rep")))
+        wide = dealt.join(small, "rep").select("token", "i", "j", "block", "rep", "n", "cls", "leader", "bits")
         pairs = common.cut(_tree_pairs(wide.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")).distinct(), "pairs")
+        pairs = common.cut(_bitmap_filter(pairs, bits), "pairs")
         links = links.union(common.cut(_verified(pairs, _sets(texts, pairs, nodes)), "links"))
         classes = connected_components(links.union(same))
     else:
@@ -383,9 +408,10 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each class its smallest doc_id stays; so do rows without an id, and all repeats of a row."""
-    kept = near_duplicate_classes(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    keyed = docs.join(kept, docs["doc_id"] == kept["__id"], "left")
-    return keyed.where("__id is not null or doc_id is null").select(*docs.columns)
+    (own,) = common.fresh(docs, "id")
+    kept = near_duplicate_classes(docs).where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
+    keyed = docs.join(kept, F.col("doc_id") == F.col(own), "left")
+    return keyed.where(F.col(own).isNotNull() | F.col("doc_id").isNull()).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,3 +97,27 @@ def test_near_copies_of_all_texts_of_an_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {x.doc_id: x.component_id for x in nj.near_duplicate_classes(df).collect()}
     assert got == {1: 1, 10: 1, 11: 1, 12: 1, 13: 1, 30: 30}
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    """Columns with the names that the operator uses; a row that is there a hundred times; a very long text."""
+    w = [f"w{k}" for k in range(60)]
+    long = [f"v{k}" for k in range(30_000)]
+    rows = [(1, " ".join(w))] * 100 + [(2, " ".join([*w[:-1], "x"])), (3, " ".join([*w[:40], "y"])), (4, " ".join(long)), (5, " ".join([*long[:-100], "z"]))]
+    df = spark.createDataFrame([(i, t, 7, 8, 9) for i, t in rows], "doc_id long, text string, __id long, id long, rep long")
+    out = nj.keep_one(df)
+    assert out.columns == df.columns and sorted(x.doc_id for x in out.collect()) == [1] * 100 + [3, 4]
+
+
+def test_buckets_with_the_same_nodes(spark, monkeypatch):
+    """Copies that share most shingles but link only to some: each set of nodes is searched once, no link is lost."""
+    monkeypatch.setattr(nj, "BLOCK", 4)
+    r = random.Random(12)
+    w, rows = [f"x{k}" for k in range(200)], []
+    for k in range(30):
+        own = list(w)
+        at = r.randrange(150)
+        for p in range(at, at + 3 * (k % 8)):
+            own[p] = f"y{k}z{p}"
+        rows.append((k, " ".join(own)))
+    check(spark, rows)
