@@ -15,7 +15,7 @@ links between different texts are found, exactly; only classes are returned, nev
    size into blocks; in each pair of blocks two trees, whose inner nodes hold OR-combined bitmaps,
    size ranges and the class that all below share, are traversed together.  A pair of tree nodes
    goes if its sizes can't fit, if the maximum possible overlap is too small, or if both sides are
-   one class already.  Of buckets with the same nodes one is taken; bitmaps travel folded to TREE_WORDS at most.
+   one class already.  Of buckets with the same nodes one is taken; bitmaps travel folded to PAIR_WORDS at most.
    What remains is held against whole bitmaps, each pair once, and verified exactly.
 6. Components over both kinds of links and over the nodes that share a doc_id, and back to all documents.
 
@@ -44,10 +44,11 @@ from propweave.operators.components import connected_components
 LEAST_BITS, MOST_BITS = 1 << 9, 1 << 17
 SKETCH = 1 << 20
 #: Nodes in a block of a bucket; a pair of blocks is one unit of work.
-BLOCK = 1024
+BLOCK = 512
 LEAF, FANOUT = 8, 8
-#: 64-bit words of a tree's bitmaps at most; pairs of documents are held against their whole bitmaps after, apart.
-TREE_WORDS = 64
+#: 64-bit words of a tree's bitmaps at most, and of those that its pairs are held against; pairs that are left are held
+#: against their whole bitmaps after, apart.
+TREE_WORDS, PAIR_WORDS = 64, 128
 #: Hash positions for picking the documents whose sets are fetched; bounds the broadcast.
 PICK = 1 << 20
 PERCENT = 80
@@ -262,7 +263,7 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
             n, rep, cls = (np.array([x[k] for x in own], np.int64) for k in range(3))
             trees.append((rep, n, [np.frombuffer(x[3], np.uint64) for x in own], cls))
         # one size for all of a tree's bitmaps; pairs of documents are held against their own after
-        words = min(len(x) for _, _, full, _ in trees for x in full)
+        words = min(TREE_WORDS, min(len(x) for _, _, full, _ in trees for x in full))
         whole = [full for _, _, full, _ in trees]
         sizes = [n for _, n, _, _ in trees]
         trees = [(rep, Tree(n, np.array([folded(x, words) for x in full]), cls)) for rep, n, full, cls in trees]
@@ -294,14 +295,11 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _tree_bits(bits: DataFrame) -> DataFrame:
-    """(rep, bits): bitmaps of half the size, and of TREE_WORDS at most."""
+    """(rep, bits): bitmaps of PAIR_WORDS at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            small = []
-            for x in batch.column(1).to_pylist():
-                x = np.frombuffer(x, np.uint64)
-                small.append(folded(x, max(LEAST_BITS // 64, min(TREE_WORDS, len(x) // 2))).tobytes())
+            small = [folded(np.frombuffer(x, np.uint64), PAIR_WORDS).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], ["rep", "bits"])
 
     return bits.select("rep", "bits").mapInArrow(run, "rep long, bits binary")
