@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from propweave import functions as fn
 from propweave import model
 from propweave.operators import collectors, enrich, matching, stats, text
+from propweave.plans import lineage, shipped
 from propweave.plans.program import Collector, Program, Rule, keep_records, parse
-from propweave.sources import sinks, tables
+from propweave.sources import library, sinks, tables
 from propweave.sources import text as text_source
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,10 +238,10 @@ def wiki_links(spark, d):
     return _t(spark, d, "nation").select("n_nationkey", F.explode(fn.wiki_links(markup)).alias("target"))
 
 
-@query("select n_nationkey, replace(replace(lower(n_name), 'a', 'ae'), 'i', 'y') as t, '<a href=\"x/' || n_name || '\">' || n_name || '</a>' as a from nation")
+@query("select n_nationkey, replace(replace(lower(nfc_normalize(n_name || 'u' || chr(776) || 'E' || chr(769))), 'a', 'ae'), 'i', 'y') as t, '<a href=\"x/' || n_name || '\">' || n_name || '</a>' as a from nation")
 def set_replace_anchor(spark, d):
     n = _t(spark, d, "nation")
-    return n.select("n_nationkey", fn.set_replace(fn.nfc(F.lower("n_name")), {"a": "ae", "i": "y"}).alias("t"), fn.html_anchor(F.col("n_name"), "x/").alias("a"))
+    return n.select("n_nationkey", fn.set_replace(F.lower(fn.nfc(F.concat("n_name", F.lit("u\u0308E\u0301")))), {"a": "ae", "i": "y"}).alias("t"), fn.html_anchor(F.col("n_name"), "x/").alias("a"))
 
 
 # aggregations
@@ -298,10 +299,13 @@ def pattern_histogram(spark, d):
     return stats.histogram(o, fn.mask_digits(F.col("o_orderdate").cast("date").cast("string")).alias("mask"), F.col("o_orderstatus").alias("status"))
 
 
-@query("select cast(count(*) as bigint) as n, cast(400 as bigint) as wanted from (select * from documents limit 400)")
+@query("select least(400, count(*)) as n, least(400, count(*)) as found, cast(400 as bigint) as wanted from documents")
 def uniform_sample(spark, d):
-    drawn = stats.uniform_sample(_t(spark, d, "documents").select("doc_id"), 400)
-    return drawn.agg(F.count("*").alias("n")).select("n", F.lit(400).cast("long").alias("wanted"))
+    """How many rows are drawn, and how many different ones of them are rows of the table."""
+    docs = _t(spark, d, "documents").select("doc_id")
+    drawn = stats.uniform_sample(docs, 400)
+    marked = drawn.withColumn("drawn", F.lit(1)).join(docs.distinct().withColumn("there", F.lit(1)), "doc_id", "left")
+    return marked.agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("there") == 1, F.col("doc_id"))).alias("found")).select("n", "found", F.lit(400).cast("long").alias("wanted"))
 
 
 # collectors
@@ -338,8 +342,11 @@ def combine_buffered(spark, d):
     return collectors.combine_buffered(_kinds(user_events(spark, d), "view", "click"), "click", "${click}:${view}").select("id", "pos", "value")
 
 
-@query(f"""with {EVENTS_SQL}, k as (select *, row_number() over (partition by id, name order by pos) as k from e)
-select a.id, a.value || '+' || b.value as value from k a join k b on a.id = b.id and a.k = b.k where a.name = 'view' and b.name = 'click'""")
+@query(f"""with recursive {EVENTS_SQL}, r as (select id, value, name, row_number() over (partition by id order by pos) as k from e where name in ('view', 'click')),
+f(id, k, v, c, value) as (select distinct id, cast(0 as bigint), cast(null as varchar), cast(null as varchar), cast(null as varchar) from r
+  union all select id, k, case when nv is null or nc is null then nv end, case when nv is null or nc is null then nc end, nv || '+' || nc
+  from (select f.id, r.k, case when r.name = 'view' then r.value else f.v end as nv, case when r.name = 'click' then r.value else f.c end as nc from f join r on r.id = f.id and r.k = f.k + 1))
+select id, value from f where value is not null""")
 def combine_reset(spark, d):
     return collectors.combine_reset(_kinds(user_events(spark, d), "view", "click"), "${view}+${click}").select("id", "value")
 
@@ -356,10 +363,10 @@ def choose_fallback(spark, d):
     return collectors.choose([k["purchase"], k["click"]]).select("id", "value")
 
 
-@query("select 'CUST-' || c_custkey as id, 'none' as value from customer anti join orders on c_custkey = o_custkey")
+@query("select 'CUST-' || c_custkey as id, 'none' as value from customer anti join (select * from orders where o_orderstatus = 'P' and o_totalprice > 100000) on c_custkey = o_custkey")
 def not_exists_flag(spark, d):
     records = _t(spark, d, "customer").select(F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("id"))
-    orders = _t(spark, d, "orders").select(F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("id"))
+    orders = _t(spark, d, "orders").where("o_orderstatus = 'P' and o_totalprice > 100000").select(F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("id"))
     return collectors.absent(records, orders, "none").select("id", "value")
 
 
@@ -411,12 +418,13 @@ def rule_program(spark, d):
     return parse(PROGRAM)(order_props(spark, d)).select("id", "name", "value")
 
 
-@query("select 'ORD-' || o_orderkey as id, count(*) as n from orders where o_orderstatus = 'P' group by 1")
+@query(f"with {ORDERS_SQL} select id, count(*) as n, string_agg(name || '=' || value, ';' order by pos) as props from orders_p where value is not null and id in (select id from orders_p where name = 'o_orderstatus' and value = 'P') group by id")
 def record_filter(spark, d):
     """Whole records for which a program emits something."""
     only = Program("p", [Rule("o_orderstatus", steps=[lambda v: F.when(v == "P", v)])])
     kept = keep_records(order_props(spark, d), only)
-    return kept.groupBy("id").agg(F.count_distinct("pos").alias("props")).select("id", F.lit(1).cast("long").alias("n"))
+    one = F.array_sort(F.collect_list(F.struct("pos", F.concat_ws("=", "name", "value").alias("x"))))
+    return kept.groupBy("id").agg(F.count("*").alias("n"), F.array_join(F.transform(one, lambda p: p["x"]), ";").alias("props"))
 
 
 # matching
@@ -507,12 +515,242 @@ def rekey_by_value(spark, d):
     return moved.groupBy(F.col("id").cast("long").alias("key"), "value").agg(F.count("*").alias("n"))
 
 
-@query("select c_custkey from customer anti join orders on c_custkey = o_custkey")
+@query("select c_custkey from customer anti join (select * from orders where o_orderpriority like '1%') on c_custkey = o_custkey")
 def unused_ids(spark, d):
-    return enrich.without(_t(spark, d, "customer"), _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).select("c_custkey")
+    return enrich.without(_t(spark, d, "customer"), _t(spark, d, "orders").where("o_orderpriority like '1%'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).select("c_custkey")
 
 
 @query("select c_custkey, coalesce(n, 0) as n from customer left join (select o_custkey, count(*) as n from orders group by 1) on c_custkey = o_custkey")
 def left_with_default(spark, d):
     n = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
     return _t(spark, d, "customer").join(n, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+# elements of programs
+
+
+def _rules(rules: str, more: str = "") -> str:
+    return f"<metamorph>{more}<rules>{rules}</rules></metamorph>"
+
+
+@query("""select 'ORD-' || o_orderkey as id, 'buyer' as ent, unnest(['number', 'rank']) as name, unnest([cast(o_custkey as varchar), substr(o_orderpriority, 1, 1)]) as value from orders""")
+def entity_group(spark, d):
+    program = _rules('<entity name="buyer" flushWith="record"><data source="o_custkey" name="number"/><data source="o_orderpriority" name="rank"><substring start="0" end="1"/></data></entity>')
+    return parse(program)(order_props(spark, d)).select("id", "ent", "name", "value")
+
+
+@query("""select 'ORD-' || o_orderkey as id, unnest(['state', 'urgency']) as name, unnest(['state:' || lower(o_orderstatus), 'urgency:' || lower(o_orderpriority)]) as value from orders""")
+def macro_program(spark, d):
+    macros = '<macros><macro name="tag"><data source="$[field]" name="$[out]"><case to="lower"/><compose prefix="$[out]$[mark]"/></data></macro></macros><vars><var name="mark" value=":"/></vars>'
+    calls = '<call-macro name="tag" field="o_orderstatus" out="state"/><call-macro name="tag" field="o_orderpriority" out="urgency"/>'
+    return parse(_rules(calls, macros))(order_props(spark, d)).select("id", "name", "value")
+
+
+@query("select 'USR-' || user_id as id, cast(count(*) as varchar) as value from events where event_type in ('view', 'click') group by user_id having count(*) >= 10")
+def count_program(spark, d):
+    """The number of a record's values, where it has two digits or more."""
+    e = user_events(spark, d).select("*", F.lit(None).cast("int").alias("ent_no"), F.lit(None).cast("string").alias("ent"))
+    rules = '<choose name="size"><data source="view|click"><count/></data><postprocess><regexp match="^\\d\\d+$"/></postprocess></choose>'
+    return parse(_rules(rules))(e).select("id", "value")
+
+
+@query("select 'C-' || c_custkey as id, coalesce(n_name, 'nowhere') as value from customer left join nation on c_nationkey = n_nationkey and n_regionkey < 3")
+def filemap_program(spark, d):
+    """A map that a program reads from a file."""
+    path = lineage.new_path(spark, "map")
+    _t(spark, d, "nation").where("n_regionkey < 3").select(F.concat_ws("\t", F.col("n_nationkey").cast("string"), "n_name").alias("value")).write.text(path)
+    program = parse(_rules('<data source="c_nationkey" name="nation"><lookup in="nations" default="nowhere"/></data>', f'<maps><filemap name="nations" files="{path}"/></maps>'), spark)
+    c = _t(spark, d, "customer")
+    return program(model.to_props(c, F.concat(F.lit("C-"), F.col("c_custkey").cast("string")), ["c_nationkey"])).select("id", "value")
+
+
+@query("select 'C-' || c_custkey as id, coalesce(n_name, 'nowhere') as value from customer left join nation on c_nationkey = n_nationkey and n_regionkey < 3")
+def lookup_table_join(spark, d):
+    table = _t(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("value"))
+    c = model.to_props(_t(spark, d, "customer"), F.concat(F.lit("C-"), F.col("c_custkey").cast("string")), ["c_nationkey"])
+    return enrich.lookup_join(c, table, "nowhere").select("id", "value")
+
+
+@query("select 'CONV-' || conv_id as id, case when length(text) > 200 then cast(length(text) as varchar) else 'missing' end as value from conversations")
+def entity_source(spark, d):
+    """A value for each group: one of its properties, or a constant where the group has none of that name."""
+    c = _t(spark, d, "conversations").withColumn("long", F.when(F.length("text") > 200, F.length("text").cast("string")))
+    props = model.to_entity_props(c, F.concat(F.lit("CONV-"), F.col("conv_id").cast("string")), "turn", F.col("turn"), ["role", "long"])
+    rules = '<choose name="size" flushWith="turn"><data source="turn.long"/><data source="turn"><constant value="missing"/></data></choose>'
+    return parse(_rules(rules))(props).select("id", "value")
+
+
+@query("select id, 't' || substr(c, 1, n) as value from (select 'ORD-' || o_orderkey as id, cast(o_custkey as varchar) as c, unnest(range(0, length(cast(o_custkey as varchar)))) as n from orders)")
+def recursive_feedback(spark, d):
+    """A rule that feeds itself: a code, cut at its end until nothing is left."""
+    rules = '<data source="o_custkey" name="@start"><compose prefix="t"/></data><data source="@code|@start" name="@code"><regexp match="^(t\\d*)\\d$" format="${1}"/></data><data source="@code" name="code"/>'
+    return parse(_rules(rules))(order_props(spark, d)).select("id", "value")
+
+
+# programs that come with the library
+
+
+def library_props(spark: SparkSession, d: str) -> DataFrame:
+    """Parts and orders as bibliographic records."""
+    p = _t(spark, d, "part")
+    number = F.lpad(F.col("p_partkey").cast("string"), 9, "0")
+    p = p.select(F.concat(F.lit("P"), (F.col("p_partkey") % 3).cast("string"), F.lit("-"), F.col("p_partkey").cast("string")).alias("key"), (F.col("p_partkey") % 50).cast("string").alias("number"), F.col("p_name").alias("title"), F.concat(F.lit("c"), (1900 + F.col("p_size")).cast("string"), F.lit(".")).alias("year"), F.col("p_brand").alias("person"), F.col("p_type").alias("publisher"), F.when(F.col("p_partkey") % 2 == 0, F.concat_ws(" ", F.lit("vol."), (F.col("p_partkey") % 4).cast("string"))).alias("volume"), F.when(F.col("p_partkey") % 3 == 0, F.concat((F.col("p_partkey") % 5).cast("string"), F.lit(". ed."))).alias("edition"), F.substring("p_type", 1, 3).alias("kind"), F.concat(F.lit("978"), number, F.lit("0")).alias("isbn"), F.col("p_brand").alias("subject"), F.substring("p_type", 1, 2).alias("class"))
+    return model.to_props(p, F.col("key"), ["number", "title", "year", "person", "publisher", "volume", "edition", "kind", "isbn", "subject", "class"])
+
+
+LIBRARY_SQL = """p as (select 'P' || (p_partkey % 3) || '-' || p_partkey as id, 'P' || (p_partkey % 3) as inst, cast(p_partkey % 50 as varchar) as number, left(lower(regexp_replace(p_name, '[^\\p{L}\\d]', '', 'g')), 40) as title,
+  cast(1900 + p_size as varchar) as year, left(lower(regexp_replace(p_brand, '[^\\p{L}\\d]', '', 'g')), 40) as person, left(lower(regexp_replace(p_type, '[^\\p{L}\\d]', '', 'g')), 40) as publisher,
+  case when p_partkey % 2 = 0 then cast(p_partkey % 4 as varchar) end as volume, case when p_partkey % 3 = 0 then cast(p_partkey % 5 as varchar) end as edition, left(p_type, 3) as kind, p_brand as subject, left(p_type, 2) as class,
+  '978' || lpad(cast(p_partkey as varchar), 9, '0') || '0' as isbn0 from part),
+q as (select *, case when list_sum([cast(substr(isbn0, i, 1) as int) * (case when i % 2 = 0 then 3 else 1 end) for i in range(1, 14)]) % 10 = 0 then isbn0 end as isbn from p)"""
+
+
+@query(f"""with {LIBRARY_SQL}, k as (select unnest(['number', 'number-inst', 'isbn', 'isbn-year', 'isbn-volume', 'isbn-edition', 'title-year', 'title-person', 'title-person-year', 'title-publisher-year', 'title-edition', 'title-volume', 'kind-title-year', 'person-year', 'work']) as algorithm,
+ unnest([number, inst || ':' || number, isbn, isbn || '-' || year, isbn || '-' || coalesce(volume, '0'), isbn || '-' || coalesce(edition, '1'), title || '-' || year, title || '-' || person, title || '-' || person || '-' || year, title || '-' || publisher || '-' || year,
+ title || '-' || edition, title || '-' || volume, upper(kind) || '-' || title || '-' || year, person || '-' || year, person || '-' || title]) as key from q)
+select algorithm, key, count(*) as n from k where key is not null group by all""")
+def match_algorithms(spark, d):
+    """The keys of all match algorithms that come with the library, counted."""
+    props = library_props(spark, d)
+    keys = [shipped.program(name)(props).select(F.lit(name).alias("algorithm"), F.col("value").alias("key")) for name in shipped.MATCHING]
+    whole = keys[0]
+    for k in keys[1:]:
+        whole = whole.unionByName(k)
+    return whole.groupBy("algorithm", "key").agg(F.count("*").alias("n"))
+
+
+@query(f"with {LIBRARY_SQL} select id, edition || '. ed./vol. ' || volume as value from q where edition is not null and volume is not null")
+def check_program(spark, d):
+    return shipped.program("check-edition-volume")(library_props(spark, d)).select("id", "value")
+
+
+@query(f"with {LIBRARY_SQL} select year || '-' || kind as value, count(*) as n from q group by all")
+def statistics_program(spark, d):
+    return stats.count_properties(shipped.program("year-kind")(library_props(spark, d))).select("value", "n")
+
+
+@query(f"with {LIBRARY_SQL} select class || '=' || subject as value, count(*) as n from q group by all")
+def cross_walk_program(spark, d):
+    return stats.count_properties(shipped.program("cross-walk")(library_props(spark, d))).select("value", "n")
+
+
+@query(f"with {LIBRARY_SQL} select id, unnest(['t', 'n', 'n', 'y']) as name, unnest([lower(p_name), subject, p_type, year]) as value from q join (select 'P' || (p_partkey % 3) || '-' || p_partkey as id, p_name, p_type from part) using (id)")
+def index_program(spark, d):
+    return shipped.program("index")(library_props(spark, d)).select("id", "name", "value")
+
+
+# library exchange formats
+
+_SUPPLIER_ROWS = "select s_suppkey, s_name, s_nationkey from supplier"
+_BAD_SQL = "select 'error:' || sha1('broken ' || s_suppkey) as id, 'error' as name, '{0}' as value from supplier"
+
+
+def _with_bad(spark: SparkSession, d: str, lines: DataFrame) -> DataFrame:
+    return lines.unionByName(_t(spark, d, "supplier").select(F.concat(F.lit("broken "), F.col("s_suppkey").cast("string")).alias("value")))
+
+
+def _suppliers(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "supplier").withColumn("year", F.concat(F.lit("[ca. "), (1900 + F.col("s_nationkey")).cast("string"), F.lit("]")))
+
+
+_SUPPLIER_SQL = "select 'X-' || s_suppkey as id, unnest(['number', 'title', 'year']) as name, unnest([cast(s_suppkey as varchar), s_name || ' ü', cast(1900 + s_nationkey as varchar)]) as value from supplier"
+
+
+@query(_SUPPLIER_SQL + " union all " + _BAD_SQL.format("no record id"))
+def pica_ingest(spark, d):
+    s = _suppliers(spark, d).withColumn("title", F.concat("s_name", F.lit(" ü")))
+    lines = _with_bad(spark, d, library.encode_pica(s, F.col("s_suppkey"), {"021A$a": "title", "011@$a": "year"}))
+    return library.ingest(lines, "pica", shipped.program("map-pica"), "X-").select("id", "name", "value")
+
+
+@query(_SUPPLIER_SQL + " union all " + "select 'error:' || sha1('broken ' || s_suppkey), 'error', 'ValueError' from supplier")
+def marc21_ingest(spark, d):
+    s = _suppliers(spark, d).withColumn("title", F.concat("s_name", F.lit(" ü")))
+    lines = _with_bad(spark, d, library.encode_marc21(s, F.col("s_suppkey"), {"245$a": "title", "260$c": "year"}))
+    props = library.ingest(lines, "marc21", shipped.program("map-marc21"), "X-")
+    return props.select("id", "name", F.when(F.col("name") == "error", F.substring_index("value", ":", 1)).otherwise(F.col("value")).alias("value"))
+
+
+@query(_SUPPLIER_SQL)
+def mab2_ingest(spark, d):
+    s = _suppliers(spark, d).withColumn("title", F.concat("s_name", F.lit(" ü")))
+    lines = library.encode_mab2(s, F.col("s_suppkey"), {"331": "title", "425": "year"})
+    return library.ingest(lines, "mab2", shipped.program("map-mab2"), "X-").select("id", "name", "value")
+
+
+@query("select 'X-' || s_suppkey as id, 'mab2' as kind, cast(24 + 4 + length(cast(s_suppkey as varchar)) + 1 + 4 + length(s_name) + 2 as bigint) as n from supplier union all select 'error:' || sha1('broken ' || s_suppkey), 'mab2', length('broken ' || s_suppkey) from supplier")
+def raw_copies(spark, d):
+    lines = _with_bad(spark, d, library.encode_mab2(_suppliers(spark, d), F.col("s_suppkey"), {"331": "s_name"}))
+    return library.raw_records(lines, "mab2", "X-").select("id", "kind", F.length("raw").cast("long").alias("n"))
+
+
+@query("select cast(1900 + s_nationkey as varchar) as value, count(*) as n from supplier group by all")
+def file_count(spark, d):
+    """Lines of a format in files, through a program, counted."""
+    path = lineage.new_path(spark, "lines")
+    library.encode_mab2(_suppliers(spark, d), F.col("s_suppkey"), {"331": "s_name", "425": "year"}).write.text(path)
+    return library.file_count(spark, path, "mab2", shipped.program("map-mab2")).where("name = 'year'").select("value", "n")
+
+
+@query("select cast(s_suppkey as varchar) as id, s_suppkey || chr(9) || chr(9) || 'number=' || s_suppkey || chr(9) || 'title=' || s_name || chr(9) || 'year=' || (1900 + s_nationkey) as line from supplier")
+def file_morph(spark, d):
+    path = lineage.new_path(spark, "lines")
+    library.encode_pica(_suppliers(spark, d), F.col("s_suppkey"), {"021A$a": "s_name", "011@$a": "year"}).write.text(path)
+    return library.file_morph(spark, path, "pica", shipped.program("map-pica"))
+
+
+@query("select 'X' || s_suppkey as id, unnest(['title', 'person']) as name, unnest([s_name, cast(s_nationkey as varchar)]) as value from supplier")
+def csv_file(spark, d):
+    path = lineage.new_path(spark, "csv")
+    _t(spark, d, "supplier").select(F.concat(F.lit("X"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("title"), F.col("s_nationkey").alias("person")).write.option("header", True).csv(path)
+    return library.csv_props(spark, path, "key").select("id", "name", "value")
+
+
+@query("select cast(s_suppkey as varchar) as id, unnest(['authority.typ', 'authority.gnd', 'metadata.name']) as name, unnest(['p', '10' || s_suppkey, s_name]) as value from supplier")
+def wiki_templates(spark, d):
+    """Authority and metadata templates of wiki pages."""
+    page = F.concat(F.lit("Text [[a|b]] {{Normdaten|TYP=p|GND=10"), F.col("s_suppkey").cast("string"), F.lit("|LCCN=|}} more {{Personendaten\n|NAME="), "s_name", F.lit("\n|ORT= }} end"))
+    pages = _t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), page.alias("text"))
+    both = text_source.template_props(pages, "Normdaten", "authority").unionByName(text_source.template_props(pages, "Personendaten", "metadata"))
+    return both.select("id", "name", "value")
+
+
+# enrichment over bundles
+
+
+def _classified(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    o = _t(spark, d, "orders")
+    key = F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))
+    made = o.withColumn("ddc", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))).withColumn("rvk", F.when(F.substring("o_orderpriority", 1, 1) < "4", F.substring("o_orderpriority", 1, 1)))
+    return model.to_props(made, key, ["ddc", "rvk"]), o.select(F.concat(F.lit("B-"), F.col("o_custkey").cast("string")).alias("bundle_id"), key.alias("id"))
+
+
+_CLASSES_SQL = "c as (select 'ORD-' || o_orderkey as id, 'B-' || o_custkey as bundle, nullif(o_orderstatus, 'P') as ddc, case when substr(o_orderpriority, 1, 1) < '4' then substr(o_orderpriority, 1, 1) end as rvk from orders)"
+
+
+@query(f"with {_CLASSES_SQL} select bundle as id, unnest(['ddc', 'rvk']) as name, unnest([id || ':' || ddc, id || ':' || rvk]) as value from c where ddc is not null and rvk is not null")
+def bundle_transfer(spark, d):
+    props, members = _classified(spark, d)
+    return enrich.transfer(props, members, ["ddc", "rvk"])
+
+
+@query(f"with {_CLASSES_SQL}, g as (select bundle, string_agg(id || ':' || rvk, ';' order by id || ':' || rvk) as value from c where rvk is not null group by bundle) select c.id, g.value from c join g using (bundle) where c.rvk is null")
+def bundle_inherit(spark, d):
+    """Extract, combine by bundle, enrich: what members lack, from the bundle's others."""
+    props, members = _classified(spark, d)
+    return enrich.inherit(props, members, "rvk")
+
+
+@query("""with n as (select o_custkey as target, o_orderstatus as type, count(*) as n from orders group by all)
+select type, unnest(['#FORMAT: PND-BEACON', '#VERSION: 0.1', '#TARGET: http://example.org/{ID}', '#DESCRIPTION: orders']) as value from (select distinct type from n) union all select type, target || '|' || n from n""")
+def beacon_file(spark, d):
+    counts = _t(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("target"), F.col("o_orderstatus").alias("type")).agg(F.count("*").alias("n"))
+    return sinks.beacon_lines(counts, "http://example.org/{ID}", {"DESCRIPTION": "orders"}).select("type", "value")
+
+
+@query("select 'all' as name, cast(count(*) as bigint) as n from (select unnest([1, 2]) from orders where o_orderpriority is not null and o_orderstatus is not null) union all select 'errors', cast(0 as bigint)")
+def job_counters(spark, d):
+    """Counters of a pass over properties, as observed metrics of the job itself."""
+    props, seen = library.counted(model.to_props(_t(spark, d, "orders"), F.col("o_orderkey").cast("string"), ["o_orderstatus", "o_orderpriority"]))
+    lineage.cut(props, "counted")
+    return spark.createDataFrame([("all", seen.get["properties"]), ("errors", seen.get["errors"])], "name string, n long")

@@ -46,15 +46,22 @@ def combine_buffered(children: dict[str, DataFrame], buffered: str, value: str)
 
 
 def combine_reset(children: dict[str, DataFrame], value: str) -> DataFrame:
-    """Emits when all children have a value, then starts anew: the k-th group of values together.
+    """Emits when all children have a value, the latest of each, and starts anew: a fold over the record's values in order."""
+    names = list(children)
+    items = F.array_sort(F.collect_list(F.struct("pos", "child", "value")))
+    rows = _tagged(children, ["id"]).groupBy("id").agg(items.alias("items"))
+    empty = F.lit(None).cast("string")
+    kind = f"array<struct<pos:int,{','.join(f'v{k}:string' for k in range(len(names)))}>>"
+    start = F.struct(*[empty.alias(f"v{k}") for k in range(len(names))], F.array().cast(kind).alias("out"))
 
-    Values are numbered within their child, and the numbers joined; children that don't alternate lose the
-    values without a partner."""
-    w = Window.partitionBy("id").orderBy("pos")
-    parts = [df.select("id", F.row_number().over(w).alias("k"), F.col("pos").alias(f"pos_{c}"), F.col("value").alias(c)) for c, df in children.items()]
-    out = reduce(lambda a, b: a.join(b, ["id", "k"]), parts)
-    pos = F.greatest(*[f"pos_{c}" for c in children]) if len(children) > 1 else F.col(f"pos_{next(iter(children))}")
-    return out.select("id", pos.alias("pos"), template(value, {c: F.col(c) for c in children}).alias("value"))
+    def step(acc: Column, x: Column) -> Column:
+        now = [F.when(x["child"] == c, x["value"]).otherwise(acc[f"v{k}"]) for k, c in enumerate(names)]
+        full = reduce(Column.__and__, [v.isNotNull() for v in now])
+        out = F.concat(acc["out"], F.array(F.struct(x["pos"].cast("int").alias("pos"), *[v.alias(f"v{k}") for k, v in enumerate(now)])))
+        return F.struct(*[F.when(~full, v).alias(f"v{k}") for k, v in enumerate(now)], F.when(full, out).otherwise(acc["out"]).alias("out"))
+
+    made = rows.select("id", F.explode(F.aggregate("items", start, step)["out"]).alias("x"))
+    return made.select("id", F.col("x.pos").alias("pos"), template(value, {c: F.col(f"x.v{k}") for k, c in enumerate(names)}).alias("value"))
 
 
 def combine_flush(children: dict[str, DataFrame], value: str, entity: bool = False) -> DataFrame:
@@ -65,12 +72,14 @@ def combine_flush(children: dict[str, DataFrame], value: str, entity: bool = Fal
     return rows.groupBy(*keys).agg(F.max("pos").alias("pos"), *last).select(*keys, "pos", template(value, {c: F.col(c) for c in children}).alias("value"))
 
 
-def choose(children: list[DataFrame], entity: bool = False) -> DataFrame:
-    """The first child in the list that has a value wins; of its values, the last."""
+def choose(children: list[DataFrame], entity: bool = False, names: list[str] | None = None) -> DataFrame:
+    """The first child in the list that has a value wins; of its values, the last.  With names, the winner's goes along."""
     keys = ["id", "ent_no"] if entity else ["id"]
-    ranked = reduce(DataFrame.unionByName, [df.select(*keys, F.lit(i).alias("rank"), "pos", "value") for i, df in enumerate(children)])
-    best = ranked.groupBy(*keys).agg(F.max_by(F.struct("pos", "value"), F.struct(-F.col("rank"), "pos")).alias("b"))
-    return best.select(*keys, "b.pos", "b.value")
+    named = [df if names is None or "name" in df.columns and not n else df.withColumn("name", F.lit(n)) for df, n in zip(children, names or [""] * len(children))]
+    columns = ["pos", "value", *(["name"] if names is not None else [])]
+    ranked = reduce(DataFrame.unionByName, [df.select(*keys, F.lit(i).alias("rank"), *columns) for i, df in enumerate(named)])
+    best = ranked.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(-F.col("rank"), "pos")).alias("b"))
+    return best.select(*keys, *[f"b.{c}" for c in columns])
 
 
 def concat(child: DataFrame, delimiter: str = "", prefix: str = "", postfix: str = "", keys: list[str] | None = None) -> DataFrame:
@@ -105,10 +114,12 @@ def group(children: list[DataFrame], name: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.select("id", "pos", "value") for df in children]).select("id", "pos", F.lit(name).alias("name"), "value")
 
 
-def entity(children: dict[str, DataFrame], name: str, keys: tuple[str, ...] = ("id", "ent_no")) -> DataFrame:
-    """A new group of the children's values for each key."""
-    rows = _tagged(children, list(keys))
-    return rows.select("id", F.lit(name).alias("ent"), *[k for k in keys if k != "id"], F.col("child").alias("name"), "value", "pos")
+def entity(children: list[DataFrame], name: str, each: bool = False, number: int = 0) -> DataFrame:
+    """A new group of the children's properties (id, pos, ent_no, name, value) for each record, numbered `number`, or with
+    `each` for each group that they come from."""
+    rows = reduce(DataFrame.unionByName, [df.select("id", "pos", F.col("ent_no").cast("int").alias("ent_no") if "ent_no" in df.columns else F.lit(None).cast("int").alias("ent_no"), "name", "value") for df in children])
+    own = F.coalesce("ent_no", F.lit(number)) if each else F.lit(number)
+    return rows.where("value is not null").select("id", "pos", own.alias("ent_no"), F.lit(name).alias("ent"), "name", "value")
 
 
 def nth(child: DataFrame, n: int, more: bool = False) -> DataFrame:

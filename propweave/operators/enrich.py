@@ -61,3 +61,36 @@ def without(records: DataFrame, others: DataFrame, on: list[str]) -> DataFrame:
 
 def only_with(records: DataFrame, others: DataFrame, on: list[str]) -> DataFrame:
     return records.join(others, on, "left_semi")
+
+
+#: Rows of a lookup table that is broadcast at most; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def lookup_join(props: DataFrame, table: DataFrame, default: str | None = None) -> DataFrame:
+    """Values replaced by those of a table (key, value; a key's smallest value counts); others get the default, or go
+    where there is none."""
+    one = table.where("key is not null").groupBy("key").agg(F.min("value").alias("found"))
+    if one.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        one = F.broadcast(one)
+    found = props.join(one, F.col("value") == F.col("key"), "left").withColumn("value", F.coalesce("found", F.lit(default)))
+    return found.where("value is not null").select(*props.columns)
+
+
+def transfer(props: DataFrame, members: DataFrame, names: list[str], least: int = 2) -> DataFrame:
+    """(id, name, value): classifications brought together over bundles.  Records with at least `least` of the names give
+    their values, as ``record:value``, to their bundle; members is (bundle_id, id)."""
+    own = props.where(F.col("name").isin(names)).select("id", "name", "value").distinct()
+    rich = own.groupBy("id").agg(F.count_distinct("name").alias("k")).where(F.col("k") >= least).select("id")
+    given = own.join(rich, "id", "left_semi").join(members.select("bundle_id", "id"), "id")
+    return given.select(F.col("bundle_id").alias("id"), "name", F.concat_ws(":", "id", "value").alias("value"))
+
+
+def inherit(props: DataFrame, members: DataFrame, name: str, separator: str = ";") -> DataFrame:
+    """(id, value): for each member of a bundle without the property, what the bundle's other members have, as
+    ``record:value`` in order.  Three steps: properties to their bundles, once for each bundle; members that lack
+    them; both joined on the bundle."""
+    data = props.where(F.col("name") == name).select("id", "value").distinct()
+    placed = members.select("bundle_id", "id").distinct().join(data, "id", "left")
+    given = placed.where("value is not null").groupBy("bundle_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "id", "value"))), separator).alias("all"))
+    return placed.where("value is null").join(given, "bundle_id").select("id", F.col("all").alias("value"))

@@ -70,11 +70,15 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\d]+"), F.lit(0))
 
 
-def german(text: Column) -> Column:
-    """Lower case, stop words, three or more characters, no numbers or mail addresses, stems."""
+def german_words(text: Column) -> Column:
+    """Lower case, stop words, three or more characters, no numbers or mail addresses."""
     plain = F.regexp_replace(F.lower(text), r"\S+@\S+", " ")
-    kept = F.filter(F.regexp_extract_all(plain, F.lit(r"[\p{L}\d]+"), F.lit(0)), lambda t: (F.length(t) >= 3) & ~t.isin(GERMAN_STOP_WORDS) & ~t.rlike(r"^\d+$"))
-    return _stemmed(kept)
+    return F.filter(F.regexp_extract_all(plain, F.lit(r"[\p{L}\d]+"), F.lit(0)), lambda t: (F.length(t) >= 3) & ~t.isin(GERMAN_STOP_WORDS) & ~t.rlike(r"^\d+$"))
+
+
+def german(text: Column) -> Column:
+    """Stems of german_words()."""
+    return _stemmed(german_words(text))
 
 
 #: Tokenizers by name.
@@ -82,12 +86,17 @@ TOKENIZERS: dict[str, Callable[[Column], Column]] = {"words": words, "german": g
 
 
 def count_tokens(df: DataFrame, text: str = "text", tokenizer: str = "words") -> DataFrame:
-    return df.select(F.explode(TOKENIZERS[tokenizer](F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    """(token, n).  Stems are made of the different words, after these are counted."""
+    first = german_words if tokenizer == "german" else TOKENIZERS[tokenizer]
+    counts = df.select(F.explode(first(F.col(text))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    if tokenizer != "german":
+        return counts
+    return counts.select(F.element_at(_stemmed(F.array("token")), 1).alias("token"), "n").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def inverted_index(df: DataFrame, record_id: str, fields: dict[str, str]) -> DataFrame:
     """(field, term, id), each once; fields maps a field to its tokenizer."""
-    parts = [df.select(F.lit(f).alias("field"), F.explode(TOKENIZERS[t](F.col(f))).alias("term"), F.col(record_id).alias("id")) for f, t in fields.items()]
+    parts = [df.select(F.lit(f).alias("field"), F.explode(F.array_distinct(TOKENIZERS[t](F.col(f)))).alias("term"), F.col(record_id).alias("id")) for f, t in fields.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

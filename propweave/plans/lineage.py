@@ -55,9 +55,10 @@ def sweep(spark: SparkSession) -> None:
     _tables[:] = kept
 
 
-def cut(df: DataFrame, what: str) -> DataFrame:
+def cut(df: DataFrame, what: str, tidy: bool = True) -> DataFrame:
     """Write df to the shared folder and read it back: later steps don't compute it again, and a
-    lost executor costs nothing but its own tasks.  The table goes once nothing can read it."""
+    lost executor costs nothing but its own tasks.  The table goes once nothing can read it, at a later
+    cut with `tidy`."""
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
@@ -65,5 +66,6 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     index = out._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
     _tables.append((path, spark.sparkContext._jvm.java.lang.ref.WeakReference(index)))
     del df, index
-    sweep(spark)
+    if tidy:
+        sweep(spark)
     return out

@@ -17,9 +17,19 @@ def write_lines(lines: DataFrame, path: str, line: str = "line") -> None:
     lines.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_beacon(counts: DataFrame, path: str) -> None:
-    """``target|n`` lines, in one folder for each type."""
-    counts.select(F.concat_ws("|", "target", "n").alias("value"), "type").write.mode("overwrite").partitionBy("type").text(path)
+def beacon_lines(counts: DataFrame, target: str, header: dict[str, str] | None = None) -> DataFrame:
+    """(type, k, value): for each type the header lines of a BEACON file, then ``target|n`` lines by target."""
+    fixed = {"FORMAT": "PND-BEACON", "VERSION": "0.1", "TARGET": target} | (header or {})
+    head = F.posexplode(F.array(*[F.lit(f"#{k}: {v}") for k, v in fixed.items()]))
+    heads = counts.select("type").distinct().select("type", head.alias("k", "value")).select("type", F.col("k").cast("long").alias("k"), F.lit("").alias("by"), "value")
+    body = counts.select("type", F.lit(len(fixed)).cast("long").alias("k"), F.col("target").alias("by"), F.concat_ws("|", "target", "n").alias("value"))
+    return heads.unionByName(body)
+
+
+def write_beacon(counts: DataFrame, path: str, target: str = "{ID}", header: dict[str, str] | None = None) -> None:
+    """A folder for each type; its files, in the order of their names, are one BEACON file: the header, then lines."""
+    lines = beacon_lines(counts, target, header).repartitionByRange("type", "k", "by").sortWithinPartitions("type", "k", "by")
+    lines.select("value", "type").write.mode("overwrite").partitionBy("type").text(path)
 
 
 def write_report(counts: DataFrame, path: str, n: str = "n") -> None:
@@ -27,4 +37,4 @@ def write_report(counts: DataFrame, path: str, n: str = "n") -> None:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    index.repartition("field").sortWithinPartitions("field", "term").write.mode("overwrite").partitionBy("field").parquet(path)
+    index.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").partitionBy("field").parquet(path)

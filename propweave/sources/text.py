@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,17 @@ def wiki_props(pages: DataFrame) -> DataFrame:
     out = named.select("id", (F.col("k") + 1).alias("pos"), "name", F.regexp_replace("value", r"^(Category|Kategorie):", "").alias("value"))
     out = pages.select("id", F.lit(0).alias("pos"), F.lit("title").alias("name"), F.col("title").alias("value")).unionByName(out)
     return out.select("id", "pos", F.lit(None).cast("int").alias("ent_no"), F.lit(None).cast("string").alias("ent"), "name", "value")
+
+
+def template_fields(text: Column, template: str) -> Column:
+    """map<string,string> of the fields ``|name=value`` of the first ``{{template ...}}`` in wiki text."""
+    body = F.regexp_extract(text, r"(?s)\{\{\s*" + template + r"\s*\|([^{}]*)\}\}", 1)
+    pairs = F.filter(F.split(body, r"\|"), lambda x: x.rlike(r"^\s*[^=\s][^=]*=\s*\S"))
+    named = F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("name"), F.trim(F.regexp_replace(x, r"(?s)^[^=]*=\s*|\s+$", "")).alias("value")))
+    return F.map_from_entries(F.array_distinct(F.filter(named, lambda x: x["value"] != "")))
+
+
+def template_props(pages: DataFrame, template: str, prefix: str) -> DataFrame:
+    """Properties ``prefix.name`` from a template's fields; ``Personendaten`` has metadata, ``Normdaten`` authority data."""
+    rows = pages.select("id", F.explode(template_fields(F.col("text"), template)).alias("name", "value"))
+    return rows.select("id", F.lit(0).alias("pos"), F.lit(None).cast("int").alias("ent_no"), F.lit(None).cast("string").alias("ent"), F.concat(F.lit(prefix + "."), F.lower("name")).alias("name"), "value")
