@@ -14,7 +14,7 @@ def test_wording():
     assert name("Licensed under CC BY-NC 4.0.") == ["CC-BY-NC-4.0"]
     assert name("he lost his driving license at the public fair") == [] and name("") == [] and name(None) == []
     for licence, text, _ in licenses.TEMPLATES:
-        assert licence in name(f"foo bar\n{text}\nbaz"), text
+        assert name(f"foo bar\n{text}\nbaz") == [licence], text
 
 
 def test_query_against_plain_search(spark):
@@ -22,7 +22,7 @@ def test_query_against_plain_search(spark):
     known = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
     want = {(r.doc_id, v) for r in spark.read.parquet(f"{d}/documents.parquet").collect() for k, v in known.items() if k in r.text}
     got = {(r.doc_id, r.licence) for r in licenses.op10_licenses(spark, d).collect()}
-    assert want and want <= got and all(any(re.search(licenses.TRIGGER, "license") for _ in [0]) for _ in got)
+    assert want and got == want  # the table holds no other notices
 
 
 def test_edges(spark):
@@ -50,3 +50,34 @@ def test_notices_within_real_prose(spark):
 
 def licences_of(text):
     return [f[0] for f in licenses.findings(text)]
+
+
+def test_near_licences_and_denials():
+    assert licences_of("This work is licensed under the GNU Affero General Public License, version 3.") == ["AGPL-3.0"]
+    assert licences_of("This work is licensed under the GNU Lesser General Public License, version 2.") == []
+    assert licences_of("Licensed under the GNU Lesser General Public License, version 2.1.") == ["LGPL-2.1"]
+    assert licences_of("This file is not licensed under the MIT License.") == []
+    assert licences_of("It was never released under the MIT License.") == []
+    assert licences_of("Do not panic. Released under the MIT License.") == ["MIT"]
+    assert licences_of("Distributed under the terms of the Mozilla Public License version 2.0") == ["MPL-2.0"]
+    assert licences_of("Licensed under CC BY-SA 4.0.") == ["CC-BY-SA-4.0"]
+    assert licences_of("Released under the MIT License.\nLicensed under the Apache License, Version 2.0.") == ["Apache-2.0", "MIT"]
+    assert licences_of("the license plate of the car was lost; general public 3 gnu") == []
+
+
+def test_brute_force_on_prose():
+    """Each licence's sentences among words: found where the plain words stand in a row, and nowhere else."""
+    r = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(50)] + ["license", "version", "the", "under", "public"]
+    for _ in range(150):
+        licence, text, _ = r.choice(licenses.TEMPLATES)
+        filler = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+        with_it, without = f"{filler(30)}\n{text}\n{filler(30)}", f"{filler(30)}\n{filler(60)} license"
+        assert licences_of(with_it) == [licence] and licences_of(without) == []
+
+
+def test_ties_and_very_long_lines():
+    t = "Released under the MIT License."
+    line = "x y " * 200_000
+    found = licenses.findings(f"{line}{t} {line}\n{t}")
+    assert [f[0] for f in found] == ["MIT"] and licenses.findings(f"{t}\n\n\n\n{t}")[0][1] == 0
