@@ -6,7 +6,8 @@ and hosts whose shrunken rate is above a bound fail as a whole; that verdict is
 
 Defined results: null, empty and blank texts have no words and so fail; a null host has no verdict
 (only the document's own rules count); repeated rows are counted and returned as often as they
-occur; columns other than doc_id, text and the host's are ignored.
+occur; very long texts are measured whole; a host whose rate is just the bound passes; an empty table gives an
+empty table; columns other than doc_id, text and the host's are ignored.
 """
 
 from __future__ import annotations
@@ -20,22 +21,39 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 #: A host fails if its shrunken failure rate is above this.
 MAX_HOST_RATE = 0.5
+#: Hosts whose verdicts are broadcast at most; more are joined by a shuffle.
+VERDICTS = 100_000
 
 #: Words of an array w that lie in three-word windows found twice or more.  A window is a 64-bit hash
 #: of its words' hashes; its low 64 - k bits, with its place in the other k bits, are sorted, and
-#: equal neighbours are repeats.
-REPEATED = """
+#: equal neighbours are repeats.  Their words are compared: where any differ, the text's windows are sorted as
+#: words instead.
+_SAME = "shiftrightunsigned(s[{0}], k) = shiftrightunsigned(s[{1}], k)"
+_AT = "CAST(s[{0}] & (shiftleft(1L, k) - 1L) AS INT)"
+_UNLIKE = " OR ".join(f"w[{_AT.format('j')} + {i}] <> w[{_AT.format('j - 1')} + {i}]" for i in range(3))
+_COVERED = "CAST(size(array_distinct(concat(p, transform(p, x -> x + 1L), transform(p, x -> x + 2L)))) AS BIGINT)"
+_BY_WORDS = f"""
+ transform(array(sort_array(transform(sequence(0, size(w) - 3), i ->
+     named_struct('g', concat_ws('\n', w[i], w[i + 1], w[i + 2]), 'i', CAST(i AS BIGINT))))), s ->
+  transform(array(transform(filter(sequence(0, size(s) - 1), j ->
+      (j > 0 AND s[j].g = s[greatest(j - 1, 0)].g) OR (j < size(s) - 1 AND s[j].g = s[least(j + 1, size(s) - 1)].g)), j -> s[j].i)), p -> {_COVERED})[0])[0]
+"""
+#: Bits of a hash that are compared, at most; a parameter for tests.
+HASH_BITS = 64
+
+
+def repeated(bits: int = HASH_BITS) -> str:
+    window = "xxhash64(hs[i], hs[i + 1], hs[i + 2])" + (f" & {(1 << bits) - 1}L" if bits < 63 else "")
+    return f"""
 CASE WHEN size(w) < 4 THEN 0L ELSE
 transform(array(transform(w, x -> xxhash64(x))), hs ->
  transform(array(CAST(ceil(log2(size(hs))) AS INT)), k ->
   transform(array(sort_array(transform(sequence(0, size(hs) - 3), i ->
-      shiftleft(xxhash64(hs[i], hs[i + 1], hs[i + 2]), k) | CAST(i AS BIGINT)))), s ->
+      shiftleft({window}, k) | CAST(i AS BIGINT)))), s ->
+   CASE WHEN exists(sequence(1, size(s) - 1), j -> {_SAME.format('j', 'j - 1')} AND ({_UNLIKE})) THEN {_BY_WORDS} ELSE
    transform(array(transform(filter(sequence(0, size(s) - 1), j ->
-       (j > 0 AND shiftrightunsigned(s[j], k) = shiftrightunsigned(s[j - 1], k))
-       OR (j < size(s) - 1 AND shiftrightunsigned(s[j], k) = shiftrightunsigned(s[j + 1], k))),
-     j -> s[j] & (shiftleft(1L, k) - 1L))), p ->
-    CAST(size(array_distinct(concat(p, transform(p, x -> x + 1L), transform(p, x -> x + 2L)))) AS BIGINT)
-   )[0])[0])[0])[0] END
+       (j > 0 AND {_SAME.format('j', 'j - 1')}) OR (j < size(s) - 1 AND {_SAME.format('j', 'j + 1')})),
+     j -> s[j] & (shiftleft(1L, k) - 1L))), p -> {_COVERED})[0] END)[0])[0])[0] END
 """
 
 
@@ -47,7 +65,7 @@ def measures(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
     out = t.select(
         "doc_id", "host", F.size("w").cast("long").alias("n_words"), without(BLANKS).cast("long").alias("word_chars"),
         (F.length("t") - without(SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr(REPEATED).alias("n_repeat_words"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr(repeated(HASH_BITS)).alias("n_repeat_words"),
     )
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
@@ -68,7 +86,10 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataF
 def judged(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """measures() with host_rate, host_failed and kept."""
     measured = common.cut(measures(docs, text, host), "measures")
-    verdicts = host_verdicts(measured, max_rate).select("host", "host_rate", "host_failed")
+    # a hot host's rows are split by adaptive execution where the verdicts are too many to be broadcast
+    verdicts = common.cut(host_verdicts(measured, max_rate).select("host", "host_rate", "host_failed"), "verdicts")
+    if verdicts.limit(VERDICTS + 1).count() <= VERDICTS:
+        verdicts = F.broadcast(verdicts)
     return measured.join(verdicts, "host", "left").withColumn("kept", ~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False)))
 
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 from propweave.llm import quality
+from pyspark.sql import functions as F
 
 
 def brute(t):
@@ -43,3 +44,12 @@ def test_sql(spark):
     c.sql(f"create view documents as select * from '{d}/documents.parquet'")
     want = sorted(c.sql(quality.SQL).fetchall())
     assert sorted(map(tuple, quality.op9_host_rules(spark, d).collect())) == want
+
+
+def test_windows_whose_hashes_collide_are_compared_as_words(spark, monkeypatch):
+    """With hashes of 4 bits nearly all windows collide."""
+    monkeypatch.setattr(quality, "HASH_BITS", 4)
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["a", "b", "cc", "d", "e"]) for _ in range(r.randrange(60))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("x"))
+    assert {x.doc_id: x.n_repeat_words for x in quality.measures(df).collect()} == {i: brute(t)[4] for i, t in enumerate(texts)}
