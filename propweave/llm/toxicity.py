@@ -7,15 +7,17 @@ intersection is a deterministic automaton, made as words need it and kept, so a
 for each character.  Words of five letters or more match with one error.
 
 A match counts by its term's weight.  Matches add up in windows of words; those between quotation
-marks or after a word of reporting are summed apart, so that quotation and abuse have weights of
+marks, which are the same in all languages, are summed apart, so that quotation and abuse have weights of
 their own in a logistic regression that gives the score.
 
 Lexicon and regression are fitted on at most SAMPLE labelled rows, those with the smallest hashes of
 doc_id among rows whose fold isn't held out: term weights for the regression come from one half of
 them, its coefficients from the other.  Every whole text is scored.
 
-Defined results: null and blank texts score as texts without a match; repeated rows score alike; without
-any usable label all scores are 0; other columns pass through flagged() and are ignored by scored().
+Defined results: null and blank texts score as texts without a match; repeated rows score alike; a doc_id with
+several labels has the largest; rows with equal hashes of doc_id are taken in the order of doc_id; a score of
+just 0.5 is toxic; very long texts are scored whole; an empty table gives an empty table; without any usable label
+all scores are 0; other columns pass through flagged() and are ignored by scored().
 """
 
 from __future__ import annotations
@@ -32,16 +34,14 @@ from propweave.llm import common, tokens
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 8000
-#: Terms in a lexicon, at most; words and beginnings that may become terms have this many characters.
-TERMS, STEMS = 400, range(4, 10)
-#: A term's two-proportion z score and the toxic rows it occurs in are at least these.
-MIN_Z, MIN_ROWS = 5.0, 5
+#: Characters of the beginnings of words that may become terms.
+STEMS = range(4, 10)
+#: A term's two-proportion z score (5: one in three million by chance), the toxic rows it occurs in and its log
+#: ratio are at least these; all terms that pass are kept.
+MIN_Z, MIN_ROWS, MIN_RATIO = 5.0, 5, 1.5
 ERRORS, FUZZY_FROM = 1, 5
 WINDOW = 12
 EDGES = b".,;:!?\"'()[]{}<>*#$%&|`~^_-+=/\\"
-#: Words of reporting (fixed values): after them, up to SAID words count as quoted.
-REPORTING = frozenset(["said", "says", "wrote", "called", "quote", "quoted", "word", "term"])
-SAID = 3
 #: Words, and automaton states, that a worker keeps.
 CACHE, STATES = 400_000, 50_000
 FEATURES = 7
@@ -144,15 +144,13 @@ class Weights(dict):
 
 
 def quoted(words: list[bytes], hits: np.ndarray) -> np.ndarray:
-    """Which hits stand between quotation marks, or soon after a word of reporting."""
+    """Which hits stand between quotation marks."""
     marks = np.fromiter((w.count(b'"') + w.count("“".encode()) + w.count("”".encode()) for w in words), np.int64, len(words))
     before = np.cumsum(marks) - marks
     # an opening mark may be on the word itself; a last mark without a partner opens nothing
     inside = (before % 2 == 1) & (before < marks.sum()) | np.fromiter((w[:1] == b'"' and w.rstrip(b".,;:!?")[-1:] == b'"' for w in words), bool, len(words))
     inside |= (before % 2 == 0) & (marks % 2 == 1) & (before + 1 < marks.sum())
-    said = np.fromiter((normal(w) in REPORTING for w in words), bool, len(words))
-    reach = np.concatenate([[0], np.cumsum(said)])
-    return inside[hits] | (reach[hits] > reach[np.maximum(hits - SAID, 0)])
+    return inside[hits]
 
 
 def features(words: list[bytes], weights: Weights) -> np.ndarray:
@@ -174,7 +172,7 @@ def _terms(words: list[bytes]) -> set[str]:
     found = set()
     for token in set(words):
         w = normal(token)
-        if len(w) in range(3, 41):
+        if len(w) >= 3:
             found.add(w)
             found.update(w[:k] + "*" for k in STEMS if len(w) > k)
     return found
@@ -204,8 +202,8 @@ def _learn_terms(sample: DataFrame) -> tuple[dict, dict]:
         p = (x + y) / (n1 + n0)
         z = (x / n1 - y / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
         weight = F.log((x + 0.5) / (n1 + 1.0)) - F.log((y + 0.5) / (n0 + 1.0))
-        rows = sums.select("term", z.alias("z"), weight.alias("weight"), x.alias("x")).where(f"z >= {MIN_Z} and weight >= 1.5 and x >= {MIN_ROWS}")
-        rows = rows.orderBy(F.desc("z"), "term").limit(TERMS).collect()
+        rows = sums.select("term", z.alias("z"), weight.alias("weight"), x.alias("x")).where(f"z >= {MIN_Z} and weight >= {MIN_RATIO} and x >= {MIN_ROWS}")
+        rows = rows.collect()  # terms of SAMPLE rows that differ by label
         out.append({r.term: float(r.weight) for r in rows})
     return out[0], out[1]
 

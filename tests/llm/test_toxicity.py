@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from propweave.llm import tokens, toxicity
 
 
@@ -44,6 +46,44 @@ def test_held_out_rows(spark):
     assert auc > 0.9 and found > 0.8 and false < 0.01
 
 
+def test_query_against_plain_search(spark):
+    """Scores from the fitted terms and coefficients, with each word held against each term by its distance."""
+    d = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    source = docs.select("doc_id", "text", (toxicity.common.fold("doc_id", 5) == 0).alias("held_out"))
+    terms, beta = toxicity.fit(source, labels) or ({"stupid": 3.0, "idio*": 2.0}, None)
+    if beta is None:  # too few labels here: the automaton alone
+        beta = np.array([-3.0, 1, 1, 0.5, 0.2, 1, 1])
+
+    class Plain(dict):
+        def __missing__(self, token):
+            w = toxicity.normal(token)
+            near = lambda k: len(k) >= 5 and abs(len(k) - len(w)) < 2 and distance(w, k) <= 1
+            self[token] = max([t * (1 if w == k else 0.7) for k, t in terms.items() if not k.endswith("*") and (w == k or near(k))] + [t for k, t in terms.items() if k.endswith("*") and w.startswith(k[:-1]) and len(w) >= len(k)], default=0.0)
+            return self[token]
+
+    plain, fast = Plain(), toxicity.Weights(toxicity.FuzzyLexicon(terms))
+    rows = docs.collect()
+    for r in rows[:60]:
+        words = tokens.split(r.text)
+        assert np.allclose(toxicity.features(words, plain), toxicity.features(words, fast))
+    got = {r.doc_id: r for r in toxicity.scored(docs, labels).collect()}
+    if toxicity.fit(source, labels):
+        for r in rows[:60]:
+            p = 1 / (1 + np.exp(-toxicity.features(tokens.split(r.text), plain) @ beta))
+            assert abs(got[r.doc_id].score - p) < 1e-9 and got[r.doc_id].predicted == int(p >= 0.5)
+
+
+def test_ties_and_long_texts(spark):
+    """Labels that contradict each other, a word of 200,000 characters, a text of 100,000 words with one bad one at its end."""
+    bad, good = "you are a stupid stupid fool today", "a fine day it is my friend"
+    rows = [(i, bad if i % 4 == 0 else good) for i in range(400)] + [(901, "x" * 200_000), (902, "fine " * 100_000 + bad), (903, good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)] + [(3, 0), (3, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.scored(docs, labels).collect()}
+    assert got[901].predicted == 0 and got[903].predicted == 0 and got[902].score > got[903].score
+
+
 def test_edges(spark):
     bad, good = "you are a stupid stupid fool today", "a fine day it is my friend"
     rows = [(i, bad if i % 4 == 0 else good) for i in range(400)] + [(900, None), (901, ""), (None, "stupid"), (900, None), (902, "stupyd " * 3)]
