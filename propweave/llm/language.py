@@ -8,7 +8,8 @@ on at most SAMPLE learning rows, those with the smallest hashes of doc_id.  Deco
 codeword's weighted logistic loss and takes the least; near ties are flagged as ambiguous.
 
 Defined results: null texts, and texts without a letter, are `und` with score 0; with no learned language every
-row is; equal losses go to the language first in order; repeated rows score alike; other columns are ignored.
+row is; equal losses go to the language first in order; repeated rows score alike; very long texts are read
+whole; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from propweave.llm import common
 
 SLOTS = 1 << 16
+#: Parts of a language's table, summed apart, so that a language with most of the rows is many tasks.
+SLICES = 32
 SAMPLE = 4000
 #: Bytes of a text taken into n-grams at once; the whole text is taken, in blocks.
 BLOCK = 1 << 20
@@ -69,7 +72,7 @@ def codewords(n: int) -> np.ndarray:
 
 
 def _gram_counts(learn: DataFrame) -> dict[str, np.ndarray]:
-    """Summed n-gram counts by language; partial sums before the shuffle, one row a language after."""
+    """Summed n-gram counts by language; partial sums before the shuffle, SLICES rows a language after."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -78,24 +81,28 @@ def _gram_counts(learn: DataFrame) -> dict[str, np.ndarray]:
                 if text:
                     sums[lang] = sums.get(lang, 0) + grams(text)
         for lang, x in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([x.astype("<i8").tobytes()], pa.binary())], ["lang", "x"])
+            parts = [own.astype("<i8").tobytes() for own in x.reshape(SLICES, -1)]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * SLICES), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["lang", "k", "x"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([at]), pa.array([total.tobytes()], pa.binary())], ["lang", "x"])
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["lang", "k", "x"])
         for batch in batches:
-            for lang, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if lang != at:
+            for *key, x in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != at:
                     if at is not None:
                         yield out()
-                    at, total = lang, np.zeros(SLOTS, np.int64)
+                    at, total = key, np.zeros(SLOTS // SLICES, np.int64)
                 total += np.frombuffer(x, "<i8")
         if at is not None:
             yield out()
 
-    kind = "lang string, x binary"
-    sums = learn.select("text", "lang").mapInArrow(run, kind).repartition("lang").sortWithinPartitions("lang").mapInArrow(add, kind)
-    return {r.lang: np.frombuffer(r.x, "<i8") for r in sums.collect()}  # one row for each language
+    kind = "lang string, k int, x binary"
+    sums = learn.select("text", "lang").mapInArrow(run, kind).repartition("lang", "k").sortWithinPartitions("lang", "k").mapInArrow(add, kind)
+    found: dict[str, np.ndarray] = {}
+    for r in sums.collect():  # one row for each language and slice
+        found.setdefault(r.lang, np.zeros((SLICES, SLOTS // SLICES), np.int64))[r.k] = np.frombuffer(r.x, "<i8")
+    return {lang: x.ravel() for lang, x in found.items()}
 
 
 class Model:
@@ -156,6 +163,7 @@ def predicted(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r.astype(np.float64) for r in rows], pa.list_(pa.float64())), batch.column(1)], ["m", "lang"])
 
         rows = [r for r in learn.join(F.broadcast(ids), "doc_id").select("text", "lang").mapInArrow(margins, "m array<double>, lang string").collect() if r.lang in set(model.langs)]
+        rows.sort(key=lambda r: (r.lang, r.m))
         model.calibrate(np.array([r.m for r in rows]), [r.lang for r in rows])
     ready = spark.sparkContext.broadcast(model)
 
