@@ -238,8 +238,10 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     byte offset at which each token ends); the text itself is dropped."""
     common.small_batches(df.sparkSession)
     keep = [c for c in df.columns if c not in (text, "n_tokens", "ids", "ends")]
-    source = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    schema = source.select(*keep, F.lit(0).cast("long").alias("n_tokens"), F.lit(b"").alias("ids"), F.lit(b"").alias("ends")).schema
+    (own,) = common.fresh(df, "own_text")
+    named = [f"`{c}`" for c in keep]
+    source = df.select(*named, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(own))
+    schema = source.select(*named, F.lit(0).cast("long").alias("n_tokens"), F.lit(b"").alias("ids"), F.lit(b"").alias("ends")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = merger(path).lengths
@@ -254,8 +256,9 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 def decode(df: DataFrame, path: str, ids: str = "ids", ends: str = "ends") -> DataFrame:
     """Adds decoded (binary): the tokens' bytes; the retained offsets are checked against it."""
     keep = [c for c in df.columns if c not in (ids, ends, "decoded")]
-    source = df.select(*keep, ids, ends)
-    schema = source.select(*keep, F.lit(b"").alias("decoded")).schema
+    named = [f"`{c}`" for c in keep]
+    source = df.select(*named, ids, ends)
+    schema = source.select(*named, F.lit(b"").alias("decoded")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = merger(path).tokens

@@ -262,7 +262,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Adds held_out, score and predicted to docs (doc_id, text, anything else); the text stays."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    own = [f"`{c}`" for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
     source = docs.select(*own, (common.fold("doc_id", 5) == 0).alias("held_out"))
     model = spark.sparkContext.broadcast(fit(source, labels) or ({}, None))
     schema = source.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
@@ -284,10 +284,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows predicted to be toxic."""
-    names = {c: f"__own_{c}" for c in ("held_out", "score", "predicted") if c in docs.columns}
+    taken = [c for c in docs.columns if c.lower() in ("held_out", "score", "predicted")]
+    names = dict(zip(taken, common.fresh(docs, *(f"own_{c}" for c in taken))))
     out = scored(docs.withColumnsRenamed(names), labels).where("predicted = 0")
-    back = {v: k for k, v in names.items()}
-    return out.select(*[F.col(c).alias(back.get(c, c)) for c in (names.get(c, c) for c in docs.columns)])
+    return out.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
