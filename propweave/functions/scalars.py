@@ -88,7 +88,7 @@ def html_anchor(v: Column, prefix: str = "") -> Column:
 def token_sort_key(v: Column) -> Column:
     """Lower-case tokens of letters and digits, different ones of two or more characters, sorted and joined; absent under four characters."""
     tokens = F.regexp_extract_all(F.lower(v), F.lit(r"[\p{L}\d]+"), F.lit(0))
-    key = F.array_join(F.filter(F.array_sort(F.array_distinct(tokens)), lambda t: F.length(t) >= 2), "")
+    key = F.array_join(F.sort_array(F.array_distinct(F.filter(tokens, lambda t: F.length(t) >= 2))), "")
     return F.when(F.length(key) >= 4, key)
 
 

@@ -32,9 +32,9 @@ def rekey_join(props: DataFrame, program_a: Callable[[DataFrame], DataFrame], pr
 def conflicts(props: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, name, values): properties with more than one value among the records of a key; keys is (id, key).
 
-    The distinct step is partial before the shuffle; only conflicting values are collected."""
-    rows = props.select("id", "name", "value").join(keys.select("id", "key"), "id").select("key", "name", "value").distinct()
-    return rows.groupBy("key", "name").agg(F.array_sort(F.collect_list("value")).alias("values")).where(F.size("values") > 1)
+    Different values are gathered before the one shuffle by key and name, so a hot key is a few short sets."""
+    rows = props.select("id", "name", "value").join(keys.select("id", "key").distinct(), "id")
+    return rows.groupBy("key", "name").agg(F.array_sort(F.collect_set("value")).alias("values")).where(F.size("values") > 1)
 
 
 def reference_counts(references: DataFrame, valid: DataFrame, all_name: str = "all") -> DataFrame:
