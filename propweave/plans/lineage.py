@@ -55,6 +55,23 @@ def sweep(spark: SparkSession) -> None:
     _tables[:] = kept
 
 
+#: Bytes of shuffles, and of tables of cut(), after which a sweep is due.
+DUE = 64 << 20
+_seen = {"shuffled": 0, "tables": 0}
+
+
+def _due(spark: SparkSession, path: str) -> bool:
+    """Whether enough has been written since the last sweep, so that small inputs don't pay for one after each step."""
+    hadoop, files = _files(spark, path)
+    _seen["tables"] += files.getContentSummary(hadoop).getLength()
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    shuffled = sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+    if abs(shuffled - _seen["shuffled"]) + _seen["tables"] < DUE:
+        return False
+    _seen.update(shuffled=shuffled, tables=0)
+    return True
+
+
 def cut(df: DataFrame, what: str, tidy: bool = True) -> DataFrame:
     """Write df to the shared folder and read it back: later steps don't compute it again, and a
     lost executor costs nothing but its own tasks.  The table goes once nothing can read it, at a later
@@ -66,6 +83,6 @@ def cut(df: DataFrame, what: str, tidy: bool = True) -> DataFrame:
     index = out._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
     _tables.append((path, spark.sparkContext._jvm.java.lang.ref.WeakReference(index)))
     del df, index
-    if tidy:
+    if tidy and _due(spark, path):
         sweep(spark)
     return out
