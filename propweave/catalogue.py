@@ -754,3 +754,22 @@ def job_counters(spark, d):
     props, seen = library.counted(model.to_props(_t(spark, d, "orders"), F.col("o_orderkey").cast("string"), ["o_orderstatus", "o_orderpriority"]))
     lineage.cut(props, "counted")
     return spark.createDataFrame([("all", seen.get["properties"]), ("errors", seen.get["errors"])], "name string, n long")
+
+
+@query("select 'P-' || p_partkey as id, 'InvalidISBN: ' || isbn as value from (select p_partkey, '978' || lpad(cast(p_partkey as varchar), 9, '0') || '0' as isbn from part) where list_sum([cast(substr(isbn, i, 1) as int) * (case when i % 2 = 0 then 3 else 1 end) for i in range(1, 14)]) % 10 <> 0")
+def invalid_values(spark, d):
+    """Error properties for values that fail a check."""
+    p = _t(spark, d, "part").withColumn("isbn", F.concat(F.lit("978"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit("0")))
+    props = model.to_props(p, F.concat(F.lit("P-"), F.col("p_partkey").cast("string")), ["isbn"])
+    return enrich.invalid(props, "isbn", fn.isbn13, "InvalidISBN").select("id", "value")
+
+
+@query("select 'C-' || o_custkey as id, 'ordered' as name, o_orderpriority as value, count(*) as n from (select distinct o_custkey, o_orderpriority from orders) group by all union all select 'C-' || c_custkey, 'name', c_name, 1 from customer")
+def stored_table(spark, d):
+    """Properties moved to other records by one program, and stored; then others into the same table, one of them again."""
+    path = lineage.new_path(spark, "table")
+    o = _t(spark, d, "orders").select(F.concat(F.lit("O-"), F.col("o_orderkey").cast("string")).alias("id"), F.lit(0).alias("pos"), F.lit(None).cast("int").alias("ent_no"), F.lit(None).cast("string").alias("ent"), F.concat(F.lit("{to:C-"), F.col("o_custkey").cast("string"), F.lit("}ordered")).alias("name"), F.col("o_orderpriority").alias("value"))
+    tables.store(spark, path, enrich.apply_redirects(o))
+    c = _t(spark, d, "customer").withColumnRenamed("c_name", "name")
+    tables.store(spark, path, model.to_props(c, F.concat(F.lit("C-"), F.col("c_custkey").cast("string")), ["name"]).unionByName(enrich.apply_redirects(o.limit(5))))
+    return spark.read.parquet(path).groupBy("id", "name", "value").agg(F.count("*").alias("n"))

@@ -94,3 +94,9 @@ def inherit(props: DataFrame, members: DataFrame, name: str, separator: str = ";
     placed = members.select("bundle_id", "id").distinct().join(data, "id", "left")
     given = placed.where("value is not null").groupBy("bundle_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "id", "value"))), separator).alias("all"))
     return placed.where("value is null").join(given, "bundle_id").select("id", F.col("all").alias("value"))
+
+
+def invalid(props: DataFrame, name: str, check: Callable[[Column], Column], error: str) -> DataFrame:
+    """Properties ``exception`` for the values of a property that a check gives nothing for."""
+    bad = props.where((F.col("name") == name) & F.col("value").isNotNull() & check(F.col("value")).isNull())
+    return bad.withColumn("name", F.lit("exception")).withColumn("value", F.concat(F.lit(error + ": "), "value"))

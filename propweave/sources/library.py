@@ -156,9 +156,17 @@ def encode_marc21(df: DataFrame, record: Column, columns: dict[str, str]) -> Dat
     return rows.select(F.concat(F.lpad(total.cast("string"), 5, "0"), F.lit("nam a22"), F.lpad(base.cast("string"), 5, "0"), F.lit(" a 4500"), "d.text", F.lit(FIELD), body).alias("value"))
 
 
+IDS = {"pica": pica_id, "mab2": mab2_id}
 DECODERS = {"pica": decode_pica, "marc21": decode_marc21, "mab2": decode_mab2}
 
 
+def register_format(kind: str, decode) -> None:
+    """A format of one's own: decode(df, line) gives properties, with an ``error`` property where a line can't be read."""
+    if kind in DECODERS:
+        raise ValueError(f"{kind} is taken")
+    DECODERS[kind] = decode
+
+
 def ingest(df: DataFrame, kind: str, program=None, prefix: str = "", line: str = "value") -> DataFrame:
     """Lines of a format to properties: decode, apply a program, prefix the ids.  Error records pass by the program."""
     if kind not in DECODERS:
@@ -173,8 +181,10 @@ def raw_records(df: DataFrame, kind: str, prefix: str = "", line: str = "value")
     """(id, kind, raw): the lines as they came, under the ids that ingest() gives them."""
     if kind == "marc21":
         key = _decode_marc(F.col(line))["id"]
+    elif kind in IDS:
+        key = F.coalesce(IDS[kind](line), _error_id(F.col(line)))
     else:
-        key = F.coalesce({"pica": pica_id, "mab2": mab2_id}[kind](line), _error_id(F.col(line)))
+        raise ValueError(f"no record id is known for {kind}")
     rows = df.where(F.length(F.trim(line)) > 0).select(key.alias("key"), F.lit(kind).alias("kind"), F.col(line).alias("raw"))
     return rows.select(F.when(F.col("key").startswith("error:"), F.col("key")).otherwise(F.concat(F.lit(prefix), "key")).alias("id"), "kind", "raw")
 

@@ -42,3 +42,22 @@ def upsert(spark: SparkSession, stored: DataFrame | None, new: DataFrame) -> Dat
     from propweave.model import as_table
 
     return as_table(new if stored is None else stored.unionByName(new))
+
+
+def store(spark: SparkSession, path: str, new: DataFrame) -> int:
+    """Bring properties into the stored table at path (made if it isn't there) and give the number of its properties.
+
+    The union is written beside the table and takes its place by a rename, so that a run that fails leaves the old one."""
+    jvm = spark.sparkContext._jvm
+    here, beside, before = (jvm.org.apache.hadoop.fs.Path(path + x) for x in ("", ".next", ".before"))
+    files = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(here) and files.exists(before):  # a run ended between the two renames
+        files.rename(before, here)
+    stored = spark.read.parquet(path) if files.exists(here) else None
+    upsert(spark, stored, new).write.mode("overwrite").parquet(path + ".next")
+    files.delete(before, True)
+    if stored is not None:
+        files.rename(here, before)
+    files.rename(beside, here)
+    files.delete(before, True)
+    return spark.read.parquet(path).count()

@@ -228,6 +228,17 @@ def test_groups_macros_counts_and_group(spark):
     assert emitted(rules('<data source="x" name=""><occurrence only="2"/></data>')(rows)) == [("1", "", "q")]
 
 
+def test_registered_steps_and_formats(spark):
+    if "shout" not in program.STEPS:
+        program.register_step("shout", lambda a, _: lambda v: F.concat(F.upper(v), F.lit(a.get("mark", "!"))))
+        library.register_format("pairs", lambda df, line: lines.parse_props(df, line))
+    assert emitted(rules('<data source="x" name="y"><shout mark="?"/></data>')(props(spark, ("1", "x", "a")))) == [("1", "y", "A?")]
+    assert emitted(library.ingest(spark.createDataFrame([("7\tx=1",)], "value string"), "pairs", prefix="Q")) == [("Q7", "x", "1")]
+    for taken in (lambda: program.register_step("trim", None), lambda: library.register_format("pica", None)):
+        with pytest.raises(ValueError):
+            taken()
+
+
 def test_feedback_that_does_not_end(spark):
     endless = rules('<data source="@a|a" name="@a"><constant value="z"/></data><data source="@a" name="b"/>')
     with pytest.raises(Exception, match="doesn't end"):
@@ -248,7 +259,7 @@ def test_marc_xml_and_lookups(spark, tmp_path):
 
 def test_errors_of_ingest_are_kept_and_counted(spark):
     lines_ = spark.createDataFrame([("broken",), ("",), (None,)], "value string")
-    for kind in library.DECODERS:
+    for kind in ("pica", "marc21", "mab2"):
         props_, seen = library.counted(library.ingest(lines_, kind, lambda p: p, "X-"), f"of-{kind}")
         got = [(r.id, r.name) for r in props_.collect() if r.name == "error"]
         assert got == [("error:" + hashlib.sha1(b"broken").hexdigest(), "error")] and seen.get["errors"] == 1, kind
