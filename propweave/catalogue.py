@@ -15,7 +15,7 @@ from propweave import functions as fn
 from propweave import model
 from propweave.operators import collectors, enrich, matching, stats, text
 from propweave.plans import lineage, shipped
-from propweave.plans.program import Collector, Program, Rule, keep_records, parse
+from propweave.plans.program import Program, Rule, keep_records, parse
 from propweave.sources import library, sinks, tables
 from propweave.sources import text as text_source
 
