@@ -21,3 +21,8 @@ def apply(stream: DataFrame, program: Callable[[DataFrame], DataFrame], sink: Ca
 def running_counts(stream: DataFrame, *keys: str) -> DataFrame:
     """Counts by key over all that has arrived."""
     return stream.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink for apply(): each micro-batch replaces the folder of its number, so a batch that is run again leaves one copy."""
+    return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")

@@ -163,8 +163,9 @@ def test_streaming(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("1\tx=1\ty=2\n2\tx=3\n")
     out = str(tmp_path / "out")
-    q = streaming.apply(streaming.read_lines(spark, str(tmp_path / "in")), lines.parse_props, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), str(tmp_path / "cp"))
+    q = streaming.apply(streaming.read_lines(spark, str(tmp_path / "in")), lines.parse_props, streaming.parquet_sink(out), str(tmp_path / "cp"))
     q.awaitTermination(60)
+    streaming.parquet_sink(out)(lines.parse_props(spark.read.text(str(tmp_path / "in"))), 0)  # the first batch once more
     assert emitted(spark.read.parquet(out)) == [("1", "x", "1"), ("1", "y", "2"), ("2", "x", "3")]
 
 
