@@ -8,7 +8,7 @@ from propweave.llm import common, warc
 
 def test_round_trip(spark, tmp_path):
     big = "x é" * 700
-    rows = [(1, "u1", big), (2, "u2\r\nX: y", "small"), (3, None, "small"), (4, "u4", big), (5, "u5", None), (6, "u6", big + "z"), (7, "u7", ""), (None, "n", big), (8, "u8", big), (8, "u8", big), (9, "", "a\r\n\r\nb" * 400)]
+    rows = [(1, "u1", big), (2, "u2\r\nX: y", "small"), (3, None, "small"), (4, "u4", big), (5, "u5", None), (6, "u6", big + "z"), (7, "u7", ""), (None, "n", big), (8, "u8", big), (8, "u8", big), (9, "", "a\r\n\r\nb" * 400), (10, "long", "abc " * 1_000_000)]
     df = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, digest string")
     files = []
     for k in range(2):
