@@ -10,13 +10,13 @@ A match counts by its term's weight.  Matches add up in windows of words; those
 marks, which are the same in all languages, are summed apart, so that quotation and abuse have weights of
 their own in a logistic regression that gives the score.
 
-Lexicon and regression are fitted on at most SAMPLE labelled rows, those with the smallest hashes of
-doc_id among rows whose fold isn't held out: term weights for the regression come from one half of
-them, its coefficients from the other.  Every whole text is scored.
+Lexicon and regression are fitted on all labelled rows whose fold isn't held out: term weights for the regression
+come from one half of them, by the hash of doc_id, its coefficients from the other.  Terms are counted in toxic rows
+first; of the others' terms only those that share a slot of a bitmap of fixed size with one that is in MIN_ROWS toxic
+rows are counted, as no other can pass.  Newton's steps are sums over all rows.  Every whole text is scored.
 
 Defined results: null and blank texts score as texts without a match; repeated rows score alike; a doc_id with
-several labels has the largest; rows with equal hashes of doc_id are taken in the order of doc_id; a score of
-just 0.5 is toxic; very long texts are scored whole; an empty table gives an empty table; without any usable label
+several labels has the largest; a score of just 0.5 is toxic; very long texts are scored whole; an empty table gives an empty table; without any usable label
 all scores are 0; other columns pass through flagged() and are ignored by scored().
 """
 
@@ -27,13 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propweave.llm import common, tokens
 
-#: Labelled rows that the model is fitted on, at most.
-SAMPLE = 8000
+#: Labels that are broadcast at most; more are joined by a shuffle.
+FEW = 1 << 19
+#: Log2 of the bits of the map of terms that may pass.
+MAP_BITS = 23
+#: Different terms that a task counts before it gives them out.
+FLUSH = 200_000
+#: Tasks of a pass over the regression's rows.
+TASKS = 48
 #: Characters of the beginnings of words that may become terms.
 STEMS = range(4, 10)
 #: A term's two-proportion z score (5: one in three million by chance), the toxic rows it occurs in and its log
@@ -168,56 +175,123 @@ def features(words: list[bytes], weights: Weights) -> np.ndarray:
     return out
 
 
-def _terms(words: list[bytes]) -> set[str]:
-    found = set()
-    for token in set(words):
-        w = normal(token)
+class Terms(dict):
+    """The terms of a token, as split from the text; with a bitmap, those that have their bit set."""
+
+    def __init__(self, bits: np.ndarray | None = None):
+        super().__init__()
+        self.bits = bits
+
+    def __missing__(self, token: bytes) -> tuple[str, ...]:
+        if len(self) >= CACHE:
+            self.clear()
+        w, own = normal(token), ()
         if len(w) >= 3:
-            found.add(w)
-            found.update(w[:k] + "*" for k in STEMS if len(w) > k)
-    return found
+            own = (w, *(w[:k] + "*" for k in STEMS if len(w) > k))
+            if self.bits is not None:
+                own = tuple(t for t in own if self.bits[(x := spot(t)) >> 3] >> (x & 7) & 1)
+        if len(token) <= 100:
+            self[token] = own
+        return own
+
+
+def spot(term: str) -> int:
+    return xxhash.xxh64_intdigest(term) >> (64 - MAP_BITS)
 
 
-def _learn_terms(sample: DataFrame) -> tuple[dict, dict]:
-    """Lexicons from the first half, and from all of the sample (text, label, half)."""
+def _counted(rows: DataFrame, bits=None) -> DataFrame:
+    """(term, c0, c1: rows (text, half) of each half with it), of all terms or those in a broadcast bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: list[Counter] = [Counter() for _ in range(4)]
+        known, counts = Terms(None if bits is None else bits.value), (Counter(), Counter())
+
+        def out() -> Iterator[pa.RecordBatch]:
+            terms = list(set().union(*counts))
+            for s in range(0, len(terms), 20000):
+                part = terms[s : s + 20000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([c[t] for t in part], pa.int64()) for c in counts)], ["term", "c0", "c1"])
+            for c in counts:
+                c.clear()
+
         for batch in batches:
-            for text, label, half in zip(*(c.to_pylist() for c in batch.columns)):
-                counts[label * 2 + half].update(_terms(tokens.split(text)))
-        terms = list(set().union(*counts))
-        for s in range(0, len(terms), 20000):
-            part = terms[s : s + 20000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([c[t] for t in part], pa.int64()) for c in counts)], ["term", "c00", "c01", "c10", "c11"])
-
-    c = sample.groupBy("label", "half").count().collect()
-    n = Counter({(r.label, r.half): r["count"] for r in c})
-    sums = sample.select("text", "label", "half").mapInArrow(run, "term string, c00 long, c01 long, c10 long, c11 long").groupBy("term").agg(*[F.sum(f"c{x}").alias(f"c{x}") for x in ("00", "01", "10", "11")]).where(f"c10 + c11 >= {MIN_ROWS}")
-    sums = common.cut(sums, "terms")
+            for text, half in zip(*(c.to_pylist() for c in batch.columns)):
+                counts[half].update(set().union(*map(known.__getitem__, set(tokens.split(text)))))
+                if sum(map(len, counts)) > FLUSH:
+                    yield from out()
+        yield from out()
+
+    return rows.select("text", "half").mapInArrow(run, "term string, c0 long, c1 long").groupBy("term").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+
+
+def _bitmap(terms: DataFrame) -> np.ndarray:
+    """The terms' bits, a byte for eight of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << MAP_BITS, bool)
+        for batch in batches:
+            own[[spot(t) for t in batch.column(0).to_pylist()]] = True
+        own = np.packbits(own, bitorder="little").reshape(64, -1)
+        for k in np.flatnonzero(own.any(1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own[k].tobytes()], pa.binary())], ["k", "x"])
+
+    out = np.zeros((64, (1 << MAP_BITS) // 512), np.uint8)
+    for row in terms.select("term").coalesce(8).mapInArrow(run, "k int, x binary").collect():  # eight bitmaps at most
+        out[row.k] |= np.frombuffer(row.x, np.uint8)
+    return out.ravel()
+
+
+def _learn_terms(rows: DataFrame) -> tuple[dict, dict]:
+    """Lexicons from the first half, and from all rows (text, label, half)."""
+    n = Counter({(r.label, r.half): r["count"] for r in rows.groupBy("label", "half").count().collect()})
+    toxic = common.cut(_counted(rows.where("label = 1")).where(f"c0 + c1 >= {MIN_ROWS}"), "terms")
+    bits = rows.sparkSession.sparkContext.broadcast(_bitmap(toxic))
+    other = _counted(rows.where("label = 0"), bits).select("term", F.col("c0").alias("o0"), F.col("c1").alias("o1"))
+    sums = common.cut(toxic.join(other, "term", "left").na.fill(0, ["o0", "o1"]), "terms")
+    bits.destroy()
     out = []
     for halves in ((0,), (0, 1)):
         n1, n0 = (max(1, sum(n[label, h] for h in halves)) for label in (1, 0))
-        x, y = (sum((F.col(f"c{label}{h}") for h in halves), F.lit(0)) for label in (1, 0))
+        x, y = (sum((F.col(f"{c}{h}") for h in halves), F.lit(0)) for c in "co")
         p = (x + y) / (n1 + n0)
         z = (x / n1 - y / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
         weight = F.log((x + 0.5) / (n1 + 1.0)) - F.log((y + 0.5) / (n0 + 1.0))
-        rows = sums.select("term", z.alias("z"), weight.alias("weight"), x.alias("x")).where(f"z >= {MIN_Z} and weight >= {MIN_RATIO} and x >= {MIN_ROWS}")
-        rows = rows.collect()  # terms of SAMPLE rows that differ by label
-        out.append({r.term: float(r.weight) for r in rows})
+        found = sums.select("term", z.alias("z"), weight.alias("weight"), x.alias("x")).where(f"z >= {MIN_Z} and weight >= {MIN_RATIO} and x >= {MIN_ROWS}")
+        out.append({r.term: float(r.weight) for r in found.collect()})  # terms that differ by label
     return out[0], out[1]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Newton's method, with halved steps where the loss would grow."""
-    beta = np.zeros(x.shape[1])
-    loss = lambda b: np.logaddexp(0, -(2 * y - 1) * (x @ b)).sum() + ridge * (b @ b) / 2
+def _newton(rows: DataFrame, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, its gradient and its second derivatives at beta, summed over all rows (x, label, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + FEATURES + FEATURES * FEATURES)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy().reshape(-1, FEATURES)
+            y, n = (batch.column(k).to_numpy().astype(np.float64) for k in (1, 2))
+            z = x @ beta
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            total += np.concatenate([[(n * np.logaddexp(0, -(2 * y - 1) * z)).sum()], x.T @ (n * (y - p)), ((x * (n * p * (1 - p))[:, None]).T @ x).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["x"])
+
+    total = np.sum([r.x for r in rows.mapInArrow(run, "x array<double>").collect()], 0)  # a row for each of TASKS
+    return total[0], total[1 : 1 + FEATURES], total[1 + FEATURES :].reshape(FEATURES, FEATURES)
+
+
+def fit_logistic(rows: DataFrame, ridge: float = 0.1) -> np.ndarray:
+    """Newton's method over rows (x, label, n: how often), with halved steps where the loss would grow."""
+    at = lambda b: ((s := _newton(rows, b))[0] + ridge * (b @ b) / 2, *s[1:])
+    beta = np.zeros(FEATURES)
+    loss, up, bend = at(beta)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta)), x.T @ (y - p) - ridge * beta)
-        while np.abs(step).max() > 1e-9 and loss(beta + step) > loss(beta):
+        step = np.linalg.solve(bend + ridge * np.eye(FEATURES), up - ridge * beta)
+        there = at(beta + step)
+        while np.abs(step).max() > 1e-6 and there[0] > loss + 1e-12 * abs(loss):  # not for what sums are rounded by
             step = step / 2
+            there = at(beta + step)
         beta = beta + step
+        loss, up, bend = there
         if np.abs(step).max() < 1e-6:
             break
     return beta
@@ -238,10 +312,11 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: str = "held_out") -> tuple
     spark = docs.sparkSession
     usable = labels.where("doc_id is not null and toxic is not null").select("doc_id", (F.col("toxic") >= 1).cast("int").alias("label"))
     usable = usable.groupBy("doc_id").agg(F.max("label").alias("label")).where(common.fold("doc_id", 5) != 0)
-    h = F.xxhash64("doc_id")
-    chosen = usable.select("doc_id", "label", F.pmod(h, F.lit(2)).cast("int").alias("half"), h.alias("h")).orderBy("h", "doc_id").limit(SAMPLE).drop("h")  # SAMPLE narrow rows
-    sample = common.cut(docs.where(~F.col(held_out)).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label", "half").repartition(12), "sample")
-    first, every = _learn_terms(sample)
+    usable = common.cut(usable.select("doc_id", "label", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")), "labels")
+    few = usable.limit(FEW + 1).count() <= FEW
+    rows = docs.where(~F.col(held_out)).select("doc_id", "text").join(F.broadcast(usable) if few else usable, "doc_id").select("text", "label", "half")
+    rows = common.cut(rows, "learning")
+    first, every = _learn_terms(rows)
     if not every:
         return None
     terms = spark.sparkContext.broadcast(first or every)
@@ -249,13 +324,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: str = "held_out") -> tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _weights(terms.value)
         for batch in batches:
-            rows = [features(tokens.split(t), weights) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
+            found = [features(tokens.split(t), weights) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
-    rows = sample.where("half = 1").select("text", "label").mapInArrow(run, "x array<double>, label int").collect()  # SAMPLE rows of FEATURES numbers
-    if not rows:
+    x = rows.where("half = 1").select("text", "label").mapInArrow(run, "x array<double>, label int")
+    x = common.cut(x.groupBy("x", "label").agg(F.count("*").alias("n")), "features")
+    if x.isEmpty():
         return None
-    return every, fit_logistic(np.array([r.x for r in rows]), np.array([r.label for r in rows], np.float64))
+    return every, fit_logistic(x.coalesce(TASKS))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -93,3 +93,20 @@ def test_edges(spark):
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == sorted([i for i in range(400) if i % 4] + [900, 900, 901])
     assert toxicity.scored(docs.limit(0), labels).count() == 0
     assert {r.score for r in toxicity.scored(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_all_labelled_rows_count(spark):
+    """A word only in those of 9000 labelled rows whose ids have the largest hashes; weights against plain counts."""
+    ids = [r.id for r in spark.range(11_300).orderBy(toxicity.F.xxhash64("id")).collect()]
+    folds = {r.id: r.f for r in spark.range(11_300).select("id", toxicity.common.fold("id", 5).alias("f")).collect()}
+    bad = set(ids[-300:])
+    rows = [(i, "you are a zorgleton today" if i in bad else f"a fine day it is my friend number{i % 7}") for i in ids] + [(20_000, "what a zorgleton"), (20_001, "what a day")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in bad)) for i in ids], "doc_id long, toxic int")
+    assert sum(folds[i] != 0 for i in ids) > 8_999
+    terms, _ = toxicity.fit(docs.withColumn("held_out", toxicity.common.fold("doc_id", 5) == 0), labels)
+    x = sum(folds[i] != 0 for i in bad)
+    n0 = sum(folds[i] != 0 for i in ids) - x
+    assert abs(terms["zorgleton"] - np.log((x + 0.5) / (x + 1)) + np.log(0.5 / (n0 + 1))) < 1e-9
+    got = {r.doc_id: r.predicted for r in toxicity.scored(docs, labels).collect()}
+    assert got[20_000] == 1 and got[20_001] == 0
