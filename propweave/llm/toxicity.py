@@ -22,6 +22,7 @@ all scores are 0; other columns pass through flagged() and are ignored by scored
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,6 +52,8 @@ WINDOW = 12
 EDGES = b".,;:!?\"'()[]{}<>*#$%&|`~^_-+=/\\"
 #: Words, and automaton states, that a worker keeps.
 CACHE, STATES = 400_000, 50_000
+#: Words whose terms a worker keeps.
+TERMS = 50_000
 FEATURES = 7
 
 
@@ -75,8 +78,9 @@ class FuzzyLexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[frozenset, int] = {}
-        self.sets: list[frozenset] = []
+        # each state's nodes and errors as sorted 32-bit numbers: workers outlive a step, so what they keep is small
+        self.ids: dict[bytes, int] = {}
+        self.sets: list[bytes] = []
         self.steps: list[dict[str, int]] = []
         self.ends: list[float] = []
         self.stems: list[float] = []
@@ -92,19 +96,19 @@ class FuzzyLexicon:
                     if reached.get(child, ERRORS + 1) > e + 1:
                         reached[child] = e + 1
                         todo.append((child, e + 1))
-        key = frozenset(reached.items())
+        key = array("i", sorted(node * (ERRORS + 1) + e for node, e in reached.items())).tobytes()
         if key not in self.ids:
             self.ids[key] = len(self.sets)
             self.sets.append(key)
             self.steps.append({})
-            words = [w * (1.0 if e == 0 else 0.7) for node, e in key if node in self.word for w, n in [self.word[node]] if e == 0 or n >= FUZZY_FROM]
+            words = [w * (1.0 if e == 0 else 0.7) for node, e in reached.items() if node in self.word for w, n in [self.word[node]] if e == 0 or n >= FUZZY_FROM]
             self.ends.append(max(words, default=0.0))
-            self.stems.append(max((self.stem[node] for node, e in key if e == 0 and node in self.stem), default=0.0))
+            self.stems.append(max((self.stem[node] for node, e in reached.items() if e == 0 and node in self.stem), default=0.0))
         return self.ids[key]
 
     def step(self, at: int, ch: str) -> int:
         reached: dict[int, int] = {}
-        for node, e in self.sets[at]:
+        for node, e in (divmod(x, ERRORS + 1) for x in memoryview(self.sets[at]).cast("i")):
             child = self.children[node].get(ch)
             if child is not None:
                 reached[child] = min(e, reached.get(child, e))
@@ -183,7 +187,7 @@ class Terms(dict):
         self.bits = bits
 
     def __missing__(self, token: bytes) -> tuple[str, ...]:
-        if len(self) >= CACHE:
+        if len(self) >= TERMS:
             self.clear()
         w, own = normal(token), ()
         if len(w) >= 3:

@@ -1,4 +1,5 @@
 import random
+import sys
 
 import numpy as np
 
@@ -110,3 +111,14 @@ def test_all_labelled_rows_count(spark):
     assert abs(terms["zorgleton"] - np.log((x + 0.5) / (x + 1)) + np.log(0.5 / (n0 + 1))) < 1e-9
     got = {r.doc_id: r.predicted for r in toxicity.scored(docs, labels).collect()}
     assert got[20_000] == 1 and got[20_001] == 0
+
+
+def test_states_are_small():
+    """A large lexicon's states take a few bytes for each node that they reach."""
+    r = random.Random(5)
+    lex = toxicity.FuzzyLexicon({"".join(r.choice("abcdefgh") for _ in range(8)): 2.0 for _ in range(3000)})
+    for _ in range(300):
+        lex.weight("".join(r.choice("abcdefgh") for _ in range(8)))
+    held = sum(map(sys.getsizeof, lex.sets)) + sum(sys.getsizeof(x) for s in lex.sets if not isinstance(s, bytes) for x in s)
+    reached = sum(len(s) // 4 if isinstance(s, bytes) else len(s) for s in lex.sets)
+    assert reached > 10 * len(lex.sets) and held < 12 * reached
